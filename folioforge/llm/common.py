@@ -73,15 +73,16 @@ class Scratch:
             pass
 
 
-def join_bounded(df: DataFrame, small: DataFrame, key: str, how: str = "left", max_rows: int = 100_000, salts: int = 32) -> DataFrame:
+def join_bounded(df: DataFrame, small: DataFrame, key: str, how: str = "left", rows: int | None = None, max_rows: int = 100_000, salts: int = 32) -> DataFrame:
     """Join with a table that is small as a rule: broadcast up to max_rows rows, else a salted shuffle join.
 
     The key is compared null-safely. small holds a key once. Beyond max_rows, each row of small is repeated
     for every salt and df's rows are dealt over the salts by row hash, so one hot key spreads over `salts` tasks.
+    rows: small's number of rows, or a bound of it, where that is known; else it is counted.
     """
     k = f"__{key}"
     small = small.withColumnRenamed(key, k)
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if (small.limit(max_rows + 1).count() if rows is None else rows) <= max_rows:
         return df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col(k)), how).drop(k)
     many = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     dealt = df.withColumn("__deal", F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int"))

@@ -123,7 +123,7 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], dim: int = DIM) -> D
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, protos: dict[str, np.ndarray], min_score: float = 0.2, dim: int = DIM) -> DataFrame:
+def keep_identified(docs: DataFrame, protos: dict[str, np.ndarray], min_score: float = 0.1, dim: int = DIM) -> DataFrame:
     """docs, with all their columns, less those that no language claims: null texts, texts without a letter, and texts whose best
     cosine is under min_score."""
 

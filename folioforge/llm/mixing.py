@@ -67,14 +67,15 @@ def fit(sized: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.max("size").alias("longest"))
     state = target_table(sums, weights, share, cap).withColumns({"lam": F.lit(0.0), "low": F.lit(float("-inf")), "high": F.lit(float("inf")), "done": F.col("source_size") == 0})
     state = scratch.write(state, "state")
+    n = state.count()
     x, bent = _tilt()
     # Documents of one source and size have one rate: each step sums over these groups.
     alike = scratch.write(sized.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "alike")
     for _ in range(steps):
-        seen = join_bounded(alike, state.filter("not done").select("source", "longest", "lam"), "source", "inner")
+        seen = join_bounded(alike, state.filter("not done").select("source", "longest", "lam"), "source", "inner", n)
         w = F.col("size") * F.col("docs")
         sums = seen.groupBy("source").agg(F.sum(w * F.least(F.lit(cap), bent)).alias("words"), F.sum(F.when(bent < cap, w * x * bent)).alias("slope"))
-        moved = join_bounded(state, sums, "source", "left")
+        moved = join_bounded(state, sums, "source", "left", n)
         gap = F.col("words") - F.col("target")
         low, high = F.when(gap < 0, F.col("lam")).otherwise(F.col("low")), F.when(gap > 0, F.col("lam")).otherwise(F.col("high"))
         newton = F.col("lam") - gap / F.col("slope")
@@ -91,21 +92,21 @@ def fit(sized: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS
         if not state.filter("not done").limit(1).count():
             break
 
-    rated = _rated(sized, state, cap)
+    rated = _rated(sized, state, cap, n)
     small = rated.select("source", "size", "whole", "target", "source_size", "spot")
     base = small.groupBy("source").agg(F.sum(F.col("size") * F.col("whole")).alias("base"), F.first("target").alias("aim"))
     base = scratch.write(base, "base")
     cut = base.select("source", (F.col("aim") - F.col("base")).alias("need"), F.lit(0.0).alias("at"), F.lit(1.0).alias("width"))
     for _ in range(2):  # the bin in which the words taken so far reach the need, then the same within that bin
-        hist = join_bounded(small.filter("spot is not null and size > 0"), cut, "source", "inner")
+        hist = join_bounded(small.filter("spot is not null and size > 0"), cut, "source", "inner", n)
         hist = hist.filter((F.col("spot") >= F.col("at")) & (F.col("spot") < F.col("at") + F.col("width")))
         hist = hist.groupBy("source", F.least(F.floor((F.col("spot") - F.col("at")) / F.col("width") * BINS), F.lit(BINS - 1)).alias("bin")).agg(F.sum("size").alias("w"))
         cum = hist.withColumn("before", F.coalesce(F.sum("w").over(Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        under = join_bounded(cum, cut, "source", "inner").filter(F.col("before") <= F.col("need"))
+        under = join_bounded(cum, cut, "source", "inner", n).filter(F.col("before") <= F.col("need"))
         last = under.groupBy("source").agg(F.max_by(F.struct("bin", "before", "w", "need", "at", "width"), "bin").alias("b")).select("source", "b.*")
         cut = scratch.write(last.select("source", (F.col("need") - F.col("before")).alias("need"), (F.col("at") + F.col("bin") * F.col("width") / BINS).alias("at"), (F.col("width") / BINS).alias("width"), (F.col("need") - F.col("before") >= F.col("w") / 2).alias("more")), "cut")
     line = cut.select("source", (F.col("at") + F.when(F.col("more"), F.col("width")).otherwise(0.0)).alias("line"))
-    return scratch.write(join_bounded(state.select("source", "source_size", "longest", "target", "lam"), line, "source"), "fitted")
+    return scratch.write(join_bounded(state.select("source", "source_size", "longest", "target", "lam"), line, "source", "left", n), "fitted")
 
 
 def apply(sized: DataFrame, fitted: DataFrame, cap: float = 2.0) -> DataFrame:
@@ -121,13 +122,13 @@ def _tilt() -> tuple[Column, Column]:
     return x, F.exp(F.least(F.col("lam") * x, F.lit(50.0)))
 
 
-def _rated(sized: DataFrame, by_source: DataFrame, cap: float) -> DataFrame:
+def _rated(sized: DataFrame, by_source: DataFrame, cap: float, rows: int | None = None) -> DataFrame:
     bent = _tilt()[1]
     rate = F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("lam") == float("inf"), F.lit(cap)).when(F.col("lam") == float("-inf"), F.lit(0.0)).otherwise(F.least(F.lit(cap), bent))
     fraction = F.col("rate") - F.floor("rate")
     draw = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 40)) / float(1 << 40)
     spot = (draw - fraction + 1) / 2  # in (0, 1); a fraction f leaves the next copy to draws under f where the threshold is 1 / 2
-    rated = join_bounded(sized, by_source, "source").withColumn("rate", rate)
+    rated = join_bounded(sized, by_source, "source", "left", rows).withColumn("rate", rate)
     return rated.withColumn("spot", F.when(fraction > 0, spot)).withColumn("whole", F.floor("rate").cast("long"))
 
 
