@@ -112,7 +112,7 @@ def test_vectors(spark):
     got = [tuple(r) for r in topk.search(df, df.filter("vec_id % 100 = 0"), 3).orderBy("query_id", "rank").collect()]
     top = 1024 * 1024 + 2048 * 2048
     assert [g for g in got if g[0] == 0] == [(0, 1, 300, 2**63 - 1), (0, 2, 1, top), (0, 3, 2, top)]
-    assert [g for g in got if g[0] == 100] == [(100, 1, 0, -2048), (100, 2, 0, -2048), (100, 3, 1, -2048)]
+    assert [g for g in got if g[0] == 100] == [(100, 1, 300, -1024), (100, 2, 0, -2048), (100, 3, 0, -2048)]
     assert [g for g in got if g[0] == 200] == [(200, 1, 8, 0)]
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
