@@ -57,12 +57,13 @@ class Model:
             raise ValueError("more characters than 16-bit codes")
         self.codes = np.ones(0x110000, np.uint16)
         self.codes[[ord(c) for c in self.alphabet]] = list(self.alphabet.values())
-        self.long = [i for i in usual if len(self.pieces[i]) > 1]
+        self.long = np.array([i for i in usual if len(self.pieces[i]) > 1], np.int64)
         self.length = np.array([len(self.pieces[i]) for i in self.long])
-        self.rank = np.array([order[sp.get_score(i)] for i in self.long])
+        self.rank = np.array([order[sp.get_score(int(i))] for i in self.long])
         self.words = -(-int(self.length.max(initial=1)) // 4)
         self.low, self.high = self.packed(0), self.packed(0xFFFF)
-        self.single = {c: self.id_of[c] for c in self.alphabet if c in self.id_of}
+        self.single = np.full(len(self.alphabet) + 2, -1, np.int64)
+        self.single[[k for c, k in self.alphabet.items() if c in self.id_of]] = [self.id_of[c] for c in self.alphabet if c in self.id_of]
         self.raw = [b"" if sp.is_control(i) else bytes((int(p[3:5], 16),)) if sp.is_byte(i) else p.replace(BLANK, " ").encode() if i != self.unk else " ⁇ ".encode() for i, p in enumerate(self.pieces)]
 
     def packed(self, pad: int) -> list[np.ndarray]:
@@ -78,9 +79,23 @@ class Model:
         n = len(text)
         t = np.concatenate([text, np.zeros(4 * self.words + 4, np.uint16)]).astype(np.uint64)
         four = t[:-3] << np.uint64(48) | t[1:-2] << np.uint64(32) | t[2:-1] << np.uint64(16) | t[3:]
-        suffix = np.argsort(four[:n], kind="stable")  # then equal stretches by their next words
-        keys = [four[4 * j : 4 * j + n] for j in range(self.words)]
-        suffix = np.lexsort(keys[::-1]) if self.words > 1 else suffix
+        borders = np.flatnonzero(text == 0)
+        room = borders[np.searchsorted(borders, np.arange(n))] - np.arange(n)  # characters up to the segment's end
+        keys = []
+        for j in range(self.words):  # a suffix ends with its segment
+            have = np.clip(room - 4 * j, 0, 4).astype(np.uint64)
+            keys.append(np.where(have > 0, four[4 * j : 4 * j + n] & ~((np.uint64(1) << (np.uint64(64) - np.maximum(have, 1) * np.uint64(16))) - np.uint64(1)), 0).astype(np.uint64))
+        suffix = np.argsort(keys[0])
+        for j in range(1, self.words):  # stretches that are equal so far and go on, by their next characters
+            same = np.ones(n - 1, bool)
+            for k in keys[:j]:
+                same &= k[suffix[1:]] == k[suffix[:-1]]
+            tied = np.flatnonzero((np.r_[False, same] | np.r_[same, False]) & (room[suffix] > 4 * j))
+            if not len(tied):
+                break
+            run = np.cumsum(np.r_[True, ~same])
+            whole = np.flatnonzero(np.isin(run, np.unique(run[tied]))) if len(tied) < n // 8 else np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+            suffix[whole] = suffix[whole][np.lexsort((keys[j][suffix[whole]], run[whole]))]
         keys = [k[suffix] for k in keys]
 
         def bound(piece: list[np.ndarray], after: bool) -> np.ndarray:
@@ -102,12 +117,12 @@ class Model:
         piece = np.repeat(some, count)
         at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo[some], count)
         start = suffix[at]
-        order = np.lexsort((self.length[piece], start))
+        order = np.argsort(start * 4 * (self.words + 1) + self.length[piece])
         start, piece = start[order], piece[order]
         return start, start + self.length[piece], piece
 
-    def segment(self, segments: list[str]) -> list[list[int]]:
-        """Piece ids of each segment."""
+    def segment(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of piece ids of each segment, and all their ids one after the other."""
         joined = "\0".join(segments) + "\0"
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         size = np.fromiter(map(len, segments), np.int64, len(segments))
@@ -118,13 +133,14 @@ class Model:
         border = np.ones(len(text) + 1, np.int8)
         owner = np.searchsorted(first, start, "right") - 1
         rank = self.rank[piece]
+        symbol = self.single[text]  # at each border: the id of the symbol that starts there, -1 for a character without one
         for _ in range(ROUNDS):
             if not len(start):
                 break
             before = np.concatenate([[0], np.cumsum(border)])
             inner = before[end] - before[start + 1]
             alive = (border[start] == 1) & (border[end] == 1) & (inner > 0)
-            start, end, rank, owner, inner = start[alive], end[alive], rank[alive], owner[alive], inner[alive]
+            start, end, rank, owner, piece, inner = start[alive], end[alive], rank[alive], owner[alive], piece[alive], inner[alive]
             now = np.flatnonzero(inner == 1)
             if not len(now):
                 start = start[:0]
@@ -134,33 +150,31 @@ class Model:
             best = np.minimum.reduceat(key, group)
             own = np.repeat(best, np.diff(np.r_[group, len(now)]))
             won = now[key == own]
+            symbol[start[won]] = self.long[piece[won]]
             for j in range(1, int((end[won] - start[won]).max())):  # the one border inside goes
                 p = start[won] + j
                 border[p[p < end[won]]] = 0
         if len(start):
-            _settle(border, start, end, rank, owner)
-        out = []
-        for s, a, n in zip(segments, first.tolist(), size.tolist(), strict=True):
-            cuts = np.flatnonzero(border[a : a + n]).tolist() + [n]
-            ids: list[int] = []
-            for x, y in zip(cuts, cuts[1:]):
-                p = s[x:y]
-                i = self.id_of.get(p)
-                if i is not None:
-                    ids.append(i)
-                elif self.byte:
-                    ids += [self.byte[b] for b in p.encode("utf-8", "surrogatepass")]
-                else:
-                    ids.append(self.unk)
-            out.append(ids)
-        return out
+            _settle(border, symbol, start, end, rank, self.long[piece])
+        at = np.flatnonzero(border[:-1])
+        at = at[text[at] != 0]
+        ids, count = symbol[at], np.ones(len(at), np.int64)
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):  # characters without a piece: their bytes, or the unknown piece
+            fall = [[self.byte[b] for b in chr(c).encode("utf-8", "surrogatepass")] if self.byte else [self.unk] for c in chars[at[lost]].tolist()]
+            count[lost] = [len(f) for f in fall]
+            whole = np.repeat(ids, count)
+            whole[np.repeat(np.isin(np.arange(len(at)), lost), count)] = [x for f in fall for x in f]
+            ids = whole
+        sizes = np.bincount(np.searchsorted(first, at, "right") - 1, count, minlength=len(segments)).astype(np.int64)
+        return sizes, ids.astype(np.int32)
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
-def _settle(border: np.ndarray, start: np.ndarray, end: np.ndarray, rank: np.ndarray, owner: np.ndarray) -> None:
+def _settle(border: np.ndarray, symbol: np.ndarray, start: np.ndarray, end: np.ndarray, rank: np.ndarray, piece: np.ndarray) -> None:
     """The rest of long segments: the same merges from a heap. An edge is looked at again when a border inside it goes."""
     by_place: dict[int, list[int]] = {}
     for e, (s, t) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
@@ -177,6 +191,7 @@ def _settle(border: np.ndarray, start: np.ndarray, end: np.ndarray, rank: np.nda
         if not (border[s] and border[end[e]]) or len(at := inside(e)) != 1:
             continue
         border[at[0]] = 0
+        symbol[s] = piece[e]
         for f in by_place[int(at[0])]:
             if border[start[f]] and border[end[f]] and len(inside(f)) == 1:
                 heapq.heappush(heap, (int(rank[f]), int(start[f]), f))
@@ -204,11 +219,10 @@ class Encoder:
             part.append(s)
             chars += len(s) + 1
             if chars >= CHARS or i == len(segments) - 1:
-                ids = self.model.segment(part)
-                for p in part:
-                    self.at[p] = len(self.at)
-                self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids))])
-                self.flat = np.concatenate([self.flat, np.array([x for i in ids for x in i], np.int32)])
+                sizes, ids = self.model.segment(part)
+                self.at.update(zip(part, range(len(self.at), len(self.at) + len(part)), strict=True))
+                self.size = np.concatenate([self.size, sizes])
+                self.flat = np.concatenate([self.flat, ids])
                 part, chars = [], 0
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -222,9 +236,9 @@ class Encoder:
                 split.append((BLANK + t.replace(" ", " " + BLANK)).split(" "))
         if len(self.at) > ROOM:
             self.clear()
-        new = dict.fromkeys(s for x in split for s in x if s not in self.at)
+        new = [s for s in set().union(*split) if s not in self.at]
         if new:
-            self.learn(list(new))
+            self.learn(new)
         first = np.cumsum(self.size) - self.size
         out = []
         for x in split:
