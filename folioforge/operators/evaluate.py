@@ -27,7 +27,7 @@ def score_pairs(pairs: DataFrame, prediction: str = "prediction", label: str = "
 
 
 def summary(scores: DataFrame, *keys: str) -> DataFrame:
-    """Per group: pairs, mean, median and greatest CER (the reference keeps the single scores only)."""
+    """Per group: pairs, mean, median and greatest CER."""
     return scores.groupBy(*keys).agg(F.count(F.lit(1)).alias("pairs"), F.avg("cer").alias("mean_cer"), F.median("cer").alias("median_cer"), F.max("cer").alias("max_cer"))
 
 

@@ -50,7 +50,7 @@ def union_bbox(boxes: DataFrame, *keys: str) -> DataFrame:
 
 
 def text_bbox(lines: DataFrame, page: str = "page_id") -> DataFrame:
-    """The reference's text box, whose width is the widest line's and whose height the last line's lower edge, beside the true extent."""
+    """A text box whose width is the widest line's and whose height the last line's lower edge, beside the true extent (extent_w, extent_h)."""
     g = lines.groupBy(page).agg(F.min("x").alias("x"), F.min("y").alias("y"), F.max("w").alias("w"), F.max_by(F.col("y") + F.col("h"), "ord").alias("h"), F.max(F.col("x") + F.col("w")).alias("x2"), F.max(F.col("y") + F.col("h")).alias("y2"))
     return g.select(page, "x", "y", "w", "h", (F.col("x2") - F.col("x")).alias("extent_w"), (F.col("y2") - F.col("y")).alias("extent_h"))
 
