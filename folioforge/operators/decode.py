@@ -39,12 +39,15 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_beams(logits: np.ndarray, width: int = 10, blank: int = 0) -> list[tuple[tuple[int, ...], float]]:
-    """(symbols, log probability), best first; equal scores by symbols. Probabilities of all paths to a prefix are summed."""
+    """(symbols, log probability), best first; equal scores by symbols. Probabilities of all paths to a prefix are summed.
+    Prefixes that no path leads to are left out, so there may be fewer than width."""
     beams = {(): (0.0, -np.inf)}  # prefix -> log probability of ending in blank, in its last symbol
     for row in log_softmax(np.asarray(logits, np.float64)):
         nxt: dict[tuple[int, ...], list[float]] = {}
 
         def add(prefix: tuple[int, ...], place: int, p: float) -> None:
+            if p == -np.inf:
+                return
             pair = nxt.setdefault(prefix, [-np.inf, -np.inf])
             pair[place] = np.logaddexp(pair[place], p)
 
