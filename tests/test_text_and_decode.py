@@ -76,8 +76,9 @@ def test_group_lines_runs_on_the_mean(spark):
 
 
 def test_ties_and_empty_groups(spark):
-    lines = spark.createDataFrame([("p", 0, 4), ("p", 1, 6), ("p", 2, 5), ("q", 0, 0)], "page_id string, ord int, yd int")
-    assert {r.page_id: r.ord for r in layout.global_curve(lines).collect()} == {"p": 0}
+    lines = spark.createDataFrame([("p", 0, 4), ("p", 1, 6), ("p", 2, 5), ("q", 0, 0), ("r", 0, 4), ("r", 1, 6)], "page_id string, ord int, yd int")
+    # the mean is 5 on both pages: p has a line of just that, r has two that are equally near
+    assert {r.page_id: r.ord for r in layout.global_curve(lines).collect()} == {"p": 2, "r": 0}
     assert layout.group_lines(spark.createDataFrame([], "page_id string, ord int, x int, y int")).count() == 0
 
 
