@@ -86,7 +86,7 @@ def prototypes(labelled: DataFrame, dim: int = DIM, train_rows: int = TRAIN_ROWS
     """Unit prototypes from (text, lang, key): about train_rows rows, those of the smallest hash of key, whatever the table's size."""
     n = labelled.count()
     share = min(1.0, train_rows / max(n, 1))
-    some = labelled.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 32)) < int(share * (1 << 32))).select("text", "lang")
+    some = labelled.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 32)) < int(share * (1 << 32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, sums = Profiles(dim), {}
@@ -96,7 +96,8 @@ def prototypes(labelled: DataFrame, dim: int = DIM, train_rows: int = TRAIN_ROWS
                 sums[y] = sums.get(y, 0) + x.astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v for v in sums.values()], pa.list_(pa.float64()))], ["lang", "v"])
 
-    parts = some.repartition(16, F.xxhash64("text")).mapInArrow(run, "lang string, v array<double>")
+    # dealt by key and text, so that copies of one text spread over the tasks
+    parts = some.select("text", "lang", F.xxhash64("key", "text").alias("deal")).repartition(16, "deal").mapInArrow(run, "lang string, v array<double>")
     rows = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x")))["x"].alias("v")).limit(MAX_LANGS + 1).collect()
     if len(rows) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
