@@ -9,7 +9,7 @@ from folioforge.llm import langid, mixing, pieces, simhash, substring
 from folioforge.llm.common import Scratch
 
 #: Five-word shingles of Jaccard similarity 0.8 differ in about 39 of 256 bits, of 0.75 in about 45.
-NEAR_BITS, NEAR_DISTANCE, NEAR_GUARANTEE, NEAR_PARTS, NEAR_PROBES = 256, 45, 26, 9, 6
+NEAR_BITS, NEAR_DISTANCE, NEAR_GUARANTEE, NEAR_PARTS, NEAR_PROBES = 256, 45, 32, 11, 6
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,7 +93,8 @@ def plan(sample: np.ndarray, n: int, t: int, parts: int | None = None, probes: i
     """[(bits, threshold)]: for each m the thresholds of least cost by dynamic programming, and of these the best m.
 
     Cost: rows filed, plus a twentieth for each pair that is expected to meet in a bucket, as estimated on the
-    sample or, where that saw none, for independent bits.
+    sample or, where that saw none, for independent bits. With probes one flip on each side is filed, so no
+    threshold is over 2.
     """
     bits, best = sample.shape[1], None
     pairs = np.triu_indices(len(sample), 1)
@@ -103,7 +104,7 @@ def plan(sample: np.ndarray, n: int, t: int, parts: int | None = None, probes: i
             s = sample[:, g].astype(np.float32)
             d = (s.sum(axis=1)[:, None] + s.sum(axis=1)[None] - 2 * s @ s.T)[pairs] if len(sample) > 1 else np.array([])
             row = {-1: 0.0}
-            for e in range(0, min(t, 6) + 1):
+            for e in range(0, min(t, 2 if probes else 6) + 1):
                 share = max((d <= e + 0.5).mean() if len(d) else 0, ball(len(g), e) / 2.0 ** len(g))
                 filed = 1 + probes if probes and e else ball(len(g), -(-e // 2))
                 row[e] = n * float(filed) + share * n * n / 2 / 20
