@@ -172,8 +172,8 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def group_links(fp: np.ndarray, rep: np.ndarray, t: int) -> tuple[list[int], list[int]]:
-    """Edges of a spanning forest of one bucket's links. Who joins a component is not looked at again, so a
-    bucket that is one dense cluster costs a few passes; one without links costs n * n / 2 byte comparisons."""
+    """A star (smallest rep, other) for each component of one bucket's links; rep is rising. Who joins a component is
+    not looked at again, so a bucket that is one dense cluster costs a few passes; one without links n * n / 2 comparisons."""
     left, us, vs = np.arange(len(rep)), [], []
     while len(left):
         seed, left = left[0], left[1:]
@@ -188,19 +188,41 @@ def group_links(fp: np.ndarray, rep: np.ndarray, t: int) -> tuple[list[int], lis
     return us, vs
 
 
+def small_links(fp: np.ndarray, rep: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many buckets of one small size at once: fp (buckets, size, bytes), rep (buckets, size) rising."""
+    near = distance(fp[:, :, None], fp[:, None]) <= t
+    label = np.broadcast_to(np.arange(rep.shape[1]), rep.shape)
+    while True:
+        least = np.where(near, label[:, None], rep.shape[1]).min(axis=2)
+        if (least == label).all():
+            break
+        label = least
+    u = np.take_along_axis(rep, label, axis=1)
+    return u[u != rep], rep[u != rep]
+
+
+def thinned(stars: DataFrame) -> DataFrame:
+    """(u, v), u < v -> fewer edges of the same components, each once.
+
+    A node that hangs on several centres keeps the smallest; the others are tied to that one instead. It has a centre
+    for each bucket it was filed in at most (of a hot bucket: for each block), which bounds the set gathered here.
+    """
+    of = stars.groupBy("v").agg(F.sort_array(F.collect_set("u")).alias("us"))
+    return of.select(F.col("us")[0].alias("u"), F.explode(F.concat(F.array("v"), F.slice("us", 2, F.size("us")))).alias("v")).distinct()
+
+
 def _verify(t: int):
     def links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.flatnonzero(np.diff(key)) + 1
         start, end = np.r_[0, edge], np.r_[edge, len(key)]
         size = end - start
         us, vs = [], []
-        for n in range(2, 17):  # buckets of one size at a time, all their pairs at once
-            own = start[size == n]
-            for i, j in itertools.combinations(range(n), 2) if len(own) else ():
-                a, b = own + i, own + j
-                ok = (distance(fp[a], fp[b]) <= t) & (rep[a] != rep[b])
-                us.append(rep[a][ok])
-                vs.append(rep[b][ok])
+        for n in range(2, 17):  # buckets of one size at a time
+            at = start[size == n][:, None] + np.arange(n)
+            if len(at):
+                u, v = small_links(fp[at], rep[at], t)
+                us.append(u)
+                vs.append(v)
         for s, e in zip(start[size > 16], end[size > 16], strict=True):
             _, one = np.unique(rep[s:e], return_index=True)
             u, v = group_links(fp[s:e][one], rep[s:e][one], t)
@@ -214,7 +236,7 @@ def _verify(t: int):
         def out(parts):
             u, v = links(*(np.concatenate(x) for x in zip(*parts)))
             if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
         for b in batches:
             if not b.num_rows:
@@ -260,8 +282,8 @@ def link_fingerprints(fps: DataFrame, scratch: Scratch, bits: int, max_distance:
     cold = filed
     if hot.limit(1).count():
         cold = filed.join(hot, "key", "left_anti").unionByName(_blocks(hot, filed))
-    found = cold.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(max_distance), "u long, v long")
-    edges = scratch.write(found.distinct(), "links")
+    found = cold.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_verify(max_distance), "u long, v long")
+    edges = scratch.write(thinned(found), "links")
     scratch.drop(filed, hot)
     return edges
 
