@@ -289,6 +289,24 @@ def cer_summary(spark, d):
     return s.select("lang", "pairs", *[F.round(c, 6).alias(c) for c in ("mean_cer", "median_cer", "max_cer")])
 
 
+def whole_pairs(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    a = docs.select("doc_id", "lang", F.col("text").alias("prediction"))
+    both = a.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("label")), "doc_id").repartition("doc_id")  # else the few tasks of a small scan score all
+    return evaluate.score_pairs(both, distance=evaluate.whole_distance)
+
+
+@query()
+def cer_pairs_whole(spark, d):
+    return whole_pairs(spark, d).select("doc_id", F.round("cer", 6).alias("cer"))
+
+
+@query()
+def cer_summary_whole(spark, d):
+    s = evaluate.summary(whole_pairs(spark, d), "lang")
+    return s.select("lang", "pairs", *[F.round(c, 6).alias(c) for c in ("mean_cer", "median_cer", "max_cer")])
+
+
 @query("SELECT conv_id AS page_id, string_agg(text, chr(10) ORDER BY turn) || chr(10) AS text FROM conversations GROUP BY conv_id")
 def export_text(spark, d):
     c = table(spark, d, "conversations")
