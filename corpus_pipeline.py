@@ -10,6 +10,8 @@ from folioforge.llm.common import Scratch
 
 #: Five-word shingles of Jaccard similarity 0.8 differ in about 39 of 256 bits, of 0.75 in about 45.
 NEAR_BITS, NEAR_DISTANCE, NEAR_GUARANTEE, NEAR_PARTS, NEAR_PROBES = 256, 45, 32, 11, 6
+#: What links must have, by exact comparison.
+NEAR_SIMILARITY = 0.8
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest doc_id of each group of near-duplicates; rows without doc_id stay."""
-    found = simhash.near_duplicates(docs, k=5, bits=NEAR_BITS, max_distance=NEAR_DISTANCE, guarantee=NEAR_GUARANTEE, parts=NEAR_PARTS, probes=NEAR_PROBES)
+    found = simhash.near_duplicates(docs, k=5, bits=NEAR_BITS, max_distance=NEAR_DISTANCE, guarantee=NEAR_GUARANTEE, parts=NEAR_PARTS, probes=NEAR_PROBES, similarity=NEAR_SIMILARITY)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs.doc_id == gone["__gone"], "left_anti")
 

@@ -5,6 +5,9 @@ two fingerprints within t bits are within t_i bits on at least one partition. Co
 same partition; the thresholds come from dynamic programming over candidate counts estimated on a bounded sample.
 A partition of threshold t_i is probed from both sides: each fingerprint is filed under every value within
 ceil(t_i / 2) bits of its own, so two within t_i bits meet in a bucket. Each bucket's members are verified on all bits.
+
+Where a similarity is asked for, the components of these links are only where to look: inside each, all pairs are
+compared by the exact Jaccard similarity of their sets of shingles, and only those that have it are linked.
 """
 
 from __future__ import annotations
@@ -34,36 +37,46 @@ def shingles(words: list[bytes], k: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[i:] for i in range(k)))))
 
 
-def fingerprint_bits(text: str | None, k: int = 3, bits: int = 64) -> np.ndarray:
-    """Margins: for each bit (most significant first), 2 * (hashes that have it) - (all hashes)."""
+def shingle_hashes(text: str | None, k: int) -> np.ndarray:
     sh = shingles(words_of(text.translate(LOWER)) if text is not None else [], k)
+    return np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in sh), np.uint64, len(sh))
+
+
+def set_id(hashes: np.ndarray) -> int:
+    """One signed 64-bit number for a set of shingles, given as rising hashes."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), 7)).astype(np.int64))
+
+
+def fingerprint_bits(hashes: np.ndarray, bits: int = 64) -> np.ndarray:
+    """Margins: for each bit (most significant first), 2 * (hashes that have it) - (all hashes)."""
     total = np.zeros(bits, np.int64)
-    for at in range(0, len(sh), 65536):
-        part = sh[at : at + 65536]
-        h = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in part), np.uint64, len(part))
+    for at in range(0, len(hashes), 65536):
+        h = hashes[at : at + 65536]
         for j in range(bits // 64):
             x = h if j == 0 else mix64(h + np.uint64((0x9E3779B97F4A7C15 * j) % 2**64))
             b = np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
             total[64 * j : 64 * j + 64] += b.sum(axis=0, dtype=np.uint32)
-    return 2 * total - len(sh)
+    return 2 * total - len(hashes)
 
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def fingerprints(docs: DataFrame, k: int = 3, bits: int = 64, weak: int = 0) -> DataFrame:
-    """(doc_id, fp binary(bits / 8), weak array<short>: the bits of smallest margin in rising order, if asked for)."""
+def fingerprints(docs: DataFrame, k: int = 3, bits: int = 64, weak: int = 0, sets: bool = False) -> DataFrame:
+    """(doc_id, fp binary(bits / 8), weak array<short>: the bits of smallest margin in rising order, if asked for, node: the id of its set of shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, low = [], []
+            fps, low, ids = [], [], []
             for text in b.column(1):
-                m = fingerprint_bits(text.as_py(), k, bits)
+                h = shingle_hashes(text.as_py(), k)
+                m = fingerprint_bits(h, bits)
+                ids.append(set_id(np.unique(h)) if sets else None)
                 fps.append(np.packbits(m > 0).tobytes())
                 low.append(np.argsort(np.abs(m), kind="stable").astype(np.int16) if weak else None)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps, pa.binary()), pa.array(low, pa.list_(pa.int16()))], ["doc_id", "fp", "weak"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps, pa.binary()), pa.array(low, pa.list_(pa.int16())), pa.array(ids, pa.int64())], ["doc_id", "fp", "weak", "node"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp binary, weak array<short>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp binary, weak array<short>, node long")
 
 
 def bit_groups(sample: np.ndarray, m: int) -> list[list[int]]:
@@ -288,20 +301,95 @@ def link_fingerprints(fps: DataFrame, scratch: Scratch, bits: int, max_distance:
     return edges
 
 
-def near_duplicates(docs: DataFrame, k: int = 3, bits: int = 64, max_distance: int = 2, guarantee: int | None = None, parts: int | None = None, probes: int | None = None) -> DataFrame:
+def exact_links(nodes: np.ndarray, flat: np.ndarray, size: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """Stars (smallest node, other) of the components that pairs of Jaccard similarity `least` or more make. nodes is rising;
+    flat has the sets' members end to end. Who joins a component is not looked at again; all other pairs are compared."""
+    end = np.cumsum(size)
+    _, member = np.unique(flat, return_inverse=True)
+    mark = np.zeros(len(flat) + 1, bool)
+    left, us, vs = np.arange(len(nodes)), [], []
+    while len(left) > 1:
+        seed, left = left[0], left[1:]
+        todo = [seed]
+        while todo and len(left):
+            one = todo.pop()
+            own = member[end[one] - size[one] : end[one]]
+            mark[own] = True
+            upto = np.r_[0, np.cumsum(mark[member])]
+            mark[own] = False
+            both = upto[end[left]] - upto[end[left] - size[left]]
+            union = size[one] + size[left] - both
+            near = np.where(union > 0, both / np.maximum(union, 1), 1.0) >= least
+            got = left[near]
+            us += [int(nodes[seed])] * len(got)
+            vs += nodes[got].tolist()
+            todo += got.tolist()
+            left = left[~near]
+    return us, vs
+
+
+def similar(docs: DataFrame, own: DataFrame, labels: DataFrame, scratch: Scratch, k: int, least: float) -> DataFrame:
+    """Nodes with their loose components -> (u, v): edges whose components are those of all pairs in one loose component
+    that are similar enough. Texts are read again for these nodes only. A large loose component is dealt out as pairs of
+    blocks of 64 nodes, or a sixty-fourth of it, but no more than 4,096."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in range(0, b.num_rows, 256):
+                all_of = [np.unique(shingle_hashes(t, k)) for t in b.column(0).slice(s, 256).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(h) for h in all_of], pa.int64()), pa.array([h.view(np.int64) for h in all_of], pa.list_(pa.int64()))], ["of", "hashes"])
+
+    def links(t: pa.Table) -> pa.Table:
+        node = t.column("node").to_numpy()
+        nodes, first = np.unique(node, return_index=True)  # rows of one text and doc_id may repeat
+        hashes = t.column("hashes").take(pa.array(first)).combine_chunks()
+        size = np.diff(hashes.offsets.to_numpy()).astype(np.int64)
+        u, v = exact_links(nodes, hashes.flatten().to_numpy(), size, least)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    n = scratch.write(labels.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    blocks = F.greatest(F.ceil(F.col("n") / 4096), F.least(F.lit(64), F.ceil(F.col("n") / 64))).cast("int")
+    inside = scratch.write(labels.join(n, "component").join(own.select("node", "rep"), "node").select("node", "rep", "component", blocks.alias("blocks")), "inside")
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text")).join(inside.select("rep").distinct(), F.col("__id") == F.col("rep"), "left_semi")
+    have = inside.join(texts.select("text").mapInArrow(sets, "of long, hashes array<long>"), F.col("node") == F.col("of"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = have.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("blocks = 1 or mine <> other")
+    pairs = dealt.select("component", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node", "hashes")
+    found = pairs.groupBy("component", "low", "high").applyInArrow(links, "u long, v long")
+    edges = scratch.write(thinned(found), "similar")
+    scratch.drop(n, inside)
+    return edges
+
+
+def near_duplicates(docs: DataFrame, k: int = 3, bits: int = 64, max_distance: int = 2, guarantee: int | None = None, parts: int | None = None, probes: int | None = None, similarity: float | None = None) -> DataFrame:
     """documents -> (doc_id, fp binary, component_id long: the smallest doc_id reachable over links).
 
     A null, empty or blank text has no shingle: its fingerprint is zero and links like any other. Fewer words than
     k: the whole sequence is the one shingle. A bit is set if over half of the hashes have it, so a tie clears it.
     Repeated rows and copies share a fingerprint and so a component. A null doc_id never names a component, but its
     row gets the component of its fingerprint, null if no row has an id. An empty table gives an empty result.
-    Other columns are ignored, whatever their names.
+    Other columns are ignored, whatever their names. With similarity, links also need that Jaccard similarity of the sets
+    of shingles (compared as 64-bit hashes), and texts of one set rather than of one fingerprint share a component.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    each = scratch.write(fingerprints(docs, k, bits, weak=probes or 0), "fingerprints")
+    each = scratch.write(fingerprints(docs, k, bits, weak=probes or 0, sets=similarity is not None), "fingerprints")
     agg = [F.min("doc_id").alias("rep")] + ([F.min("weak").alias("weak")] if probes is not None else [])
+    if similarity is not None:
+        return _similar_duplicates(docs, each, agg, scratch, k, bits, max_distance, guarantee, parts, probes, similarity)
     own = scratch.write(each.groupBy("fp").agg(*agg).filter("rep is not null"), "distinct")
     labels = connected_components(link_fingerprints(own, scratch, bits, max_distance, guarantee, parts, probes), scratch)
     of = scratch.write(own.join(labels, own.rep == labels.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "components")
     scratch.drop(own)
     return each.select("doc_id", "fp").join(of, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def _similar_duplicates(docs: DataFrame, each: DataFrame, agg: list, scratch: Scratch, k: int, bits: int, max_distance: int, guarantee: int | None, parts: int | None, probes: int | None, similarity: float) -> DataFrame:
+    own = scratch.write(each.groupBy("node").agg(F.min("fp").alias("fp"), *agg).filter("rep is not null"), "distinct")
+    loose = connected_components(link_fingerprints(own.drop("rep").withColumnRenamed("node", "rep"), scratch, bits, max_distance, guarantee, parts, probes), scratch)
+    labels = connected_components(similar(docs, own, loose, scratch, k, similarity), scratch)
+    joined = scratch.write(own.select(F.col("node").alias("own"), "rep").join(labels, F.col("own") == labels.node).select("own", "rep", "component"), "joined")
+    names = scratch.write(joined.groupBy("component").agg(F.min("rep").alias("least")), "names")
+    named = scratch.write(joined.join(names, "component").select("own", "least"), "named")
+    of = scratch.write(own.select("node", "rep").join(named, own.node == named.own, "left").select("node", F.coalesce("least", "rep").alias("component_id")), "components")
+    scratch.drop(own, joined, names, named)
+    return each.select("doc_id", "fp", "node").join(of, "node", "left").select("doc_id", "fp", "component_id")
