@@ -1,4 +1,8 @@
-"""The page pipeline as DataFrame stages: tiles, masks, regions, lines in reading order, recognised text."""
+"""The first half of the page pipeline as DataFrame stages: tiles, masks, regions, lines in reading order.
+
+run() ends there. Turning and dewarping pages, merging the lines of a group, cutting out line images, recognition and decoding exist as
+operators (layout, pixels, recognise, decode), but nothing joins them to these stages.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,7 @@ class Settings:
     patch: int = 512
     line_threshold: float = 0.9
     group_threshold: float = 20
+    #: Of the stages that run() lacks; not read here.
     merge_lines: bool = True
     k_factor: float = 1.7
     bbox_tolerance: float = 3.0
@@ -49,4 +54,5 @@ def page_status(pages: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def run(pages: DataFrame, model: Callable[[np.ndarray], np.ndarray], s: Settings = Settings()) -> DataFrame:
+    """Lines as boxes and contours in reading order, of pages as they are; no text."""
     return order_lines(build_lines(detect_lines(pages, model, s)), s)
