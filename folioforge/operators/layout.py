@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import geometry as G
+from folioforge.operators.pixels import convex_hull
 
 LINE_THRESHOLDS = {"line": 0.9, "layout": 0.8, "batch": 0.9, "cli": 0.85, "book": 0.8}
 
@@ -79,10 +81,18 @@ def group_lines(lines: DataFrame, threshold: float = 20, page: str = "page_id")
 
 
 def merge_groups(grouped: DataFrame, page: str = "page_id") -> DataFrame:
-    """Lines of one group as one: union box, centre, contours end to end (their hull: pixels.convex_hull)."""
-    g = grouped.groupBy(page, "grp").agg(F.min("x").alias("x"), F.min("y").alias("y"), F.max(F.col("x") + F.col("w")).alias("x2"), F.max(F.col("y") + F.col("h")).alias("y2"), F.count(F.lit(1)).alias("n_lines"))
+    """Lines of one group as one: union box, centre and, if lines have contours, these end to end in reading order and their hull; a line alone
+    in its group keeps its contour as hull."""
+    more = []
+    if "contour" in grouped.columns:
+        more = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "contour"))), lambda x: x["contour"])).alias("contour")]
+    g = grouped.groupBy(page, "grp").agg(F.min("x").alias("x"), F.min("y").alias("y"), F.max(F.col("x") + F.col("w")).alias("x2"), F.max(F.col("y") + F.col("h")).alias("y2"), F.count(F.lit(1)).alias("n_lines"), *more)
     w, h = F.col("x2") - F.col("x"), F.col("y2") - F.col("y")
-    return g.select(page, "grp", "x", "y", w.alias("w"), h.alias("h"), "n_lines", (F.col("x") + F.floor(w / 2)).cast("int").alias("cx"), (F.col("y") + F.floor(h / 2)).cast("int").alias("cy"))
+    out = [page, "grp", "x", "y", w.alias("w"), h.alias("h"), "n_lines", (F.col("x") + F.floor(w / 2)).cast("int").alias("cx"), (F.col("y") + F.floor(h / 2)).cast("int").alias("cy")]
+    if more:
+        hull = F.udf(lambda points: [tuple(map(int, p)) for p in convex_hull(np.array([(p.x, p.y) for p in points]))], "array<struct<x:int,y:int>>")
+        out += ["contour", F.when(F.col("n_lines") > 1, hull("contour")).otherwise(F.col("contour")).alias("hull")]
+    return g.select(*out)
 
 
 def line_threshold(slices: DataFrame, page: str = "page_id") -> DataFrame:
