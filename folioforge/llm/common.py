@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What counts as a word everywhere in this package: runs of anything but these six ASCII blanks.
@@ -19,25 +21,44 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or one of our own where that is unset (tests on one machine)."""
+    """The folder in spark.checkpoint.dir. Where that is unset: one of our own if all runs on one machine, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset; on a cluster it must name a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "folioforge-scratch")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
 class Scratch:
     """Intermediate tables, written as Parquet under the shared folder.
 
     A written table cuts the lineage, can be read by every executor and outlives the loss of any of them.
     Shuffle files of the job that wrote it are released at its end, so disk holds one job's shuffle at a time.
+    Results are read lazily, so tables stay until the block of a released() around them, or else the process, ends.
     """
 
+    lock, writing, before = threading.Lock(), 0, "false"
+    open_scopes: list[list["Scratch"]] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        if Scratch.open_scopes:
+            Scratch.open_scopes[-1].append(self)
         atexit.register(self.close)
 
     def path(self, name: str) -> str:
@@ -46,33 +67,75 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path, schema = self.path(name), df.schema
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
+        self._cleanup(True)
         try:
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            self.spark.conf.set(CLEANUP, before)
+            self._cleanup(False)
         out = self.spark.read.schema(schema).parquet(path)
         out._scratch_path = path
         return out
 
+    def _cleanup(self, on: bool) -> None:
+        """The session's setting is on while any thread writes, and as it was after the last."""
+        with Scratch.lock:
+            if on and not Scratch.writing:
+                Scratch.before = self.spark.conf.get(CLEANUP, "false")
+                self.spark.conf.set(CLEANUP, "true")
+            Scratch.writing += 1 if on else -1
+            if not Scratch.writing:
+                self.spark.conf.set(CLEANUP, Scratch.before)
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            self._delete(t._scratch_path)
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            delete(self.spark, t._scratch_path)
 
     def close(self) -> None:
+        atexit.unregister(self.close)
         try:
             if self.spark.sparkContext._jsc is not None:
-                self._delete(self.root)
+                delete(self.spark, self.root)
         except Exception:  # the session is gone; the folder is the cluster's to clean
             pass
 
 
+@contextlib.contextmanager
+def released():
+    """Scratch tables made in this block go at its end: for callers that have written or collected what they asked for."""
+    Scratch.open_scopes.append([])
+    try:
+        yield
+    finally:
+        for s in Scratch.open_scopes.pop():
+            s.close()
+
+
+def free_name(df: DataFrame, *wanted: str) -> str | list[str]:
+    """Column names like those wanted that df does not have, whatever its names."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out[0] if len(out) == 1 else out
+
+
+def column(name: str) -> Column:
+    """A column by its bare name, with dots or backquotes in it as they are."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """n numbers of which repartition(n, number) sends each to a partition of its own."""
+    found, width = {}, 16 * n
+    while len(found) < n:
+        k = F.col("id").cast("int")
+        rows = spark.range(width).select(k.alias("k"), F.pmod(F.hash(k), F.lit(n)).alias("p")).groupBy("p").agg(F.min("k").alias("k")).collect()
+        found, width = {r.p: r.k for r in rows}, 4 * width
+    return [found[p] for p in range(n)]
+
+
 def join_bounded(df: DataFrame, small: DataFrame, key: str, how: str = "left", rows: int | None = None, max_rows: int = 100_000, salts: int = 32) -> DataFrame:
     """Join with a table that is small as a rule: broadcast up to max_rows rows, else a salted shuffle join.
 
