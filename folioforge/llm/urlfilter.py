@@ -1,7 +1,7 @@
 """URL rules by a sort-merge range join.
 
-A host's labels reversed, each followed by a comma ("www.example.net" -> "net,example,www,"), give a canonical key under which a host
-and all its subdomains are one interval: those that start with the rule's key. URLs and rules are dealt over ranges of
+A host's labels reversed, each followed by a slash ("www.example.net" -> "net/example/www/"), give a canonical key under which a host
+and all its subdomains are one interval: those that start with the rule's key. A host ends at its first slash, so none holds one. URLs and rules are dealt over ranges of
 keys and sorted; one sweep over a range keeps the stack of rules whose intervals hold the present key, innermost last. Rules
 reach every range that their interval touches. Equal keys are ordered, and so cut, by row hash: one host may fill many ranges.
 """
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import Scratch
+from folioforge.llm.common import even_keys
 
 PER_RANGE = 40  # sampled keys a range
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -26,15 +26,18 @@ def host_and_path(url: F.Column) -> tuple[F.Column, F.Column]:
     rest = F.when(F.instr(url, "://") > 0, F.expr("substring(__url, instr(__url, '://') + 3)")).otherwise("")
     host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
+    return F.translate(host, UPPER, LOWER), path
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(host: F.Column) -> F.Column:
-    return F.when(host == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), ","), F.lit(",")))
+    return F.when(host == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "/"), F.lit("/")))
 
 
-def _deal(bounds: list[tuple[bytes, int]]):
-    """Adds the range of each url (one), and of each rule (all that its interval touches)."""
+def _deal(bounds: list[tuple[bytes, int]], names: list[int]):
+    """Adds the range of each url (one), and of each rule (all that its interval touches), by its number in names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -48,7 +51,7 @@ def _deal(bounds: list[tuple[bytes, int]]):
                     got = range(bisect_left(bounds, (k, -(1 << 63))), bisect_left(bounds, (k + b"\xff", -(1 << 63))) + 1)
                 for p in got:
                     rows.append(i)
-                    parts.append(p)
+                    parts.append(names[p])
             t = pa.Table.from_batches([b]).take(pa.array(rows, pa.int64())).append_column("part", pa.array(parts, pa.int32())).combine_chunks()
             yield from t.to_batches()
 
@@ -84,10 +87,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
 
     A rule fits its host and all subdomains if the url's path starts with the rule's path. The longest host + path wins, then the
     longer host; of equal rules the greater verdict by code point. Null url, or no '://': host and path are empty, and no rule fits.
-    No rule: rule is null and verdict `default`. Rules without host or verdict are left out, a null path is empty; a rule's host is
-    taken lower-cased. Repeated pages give repeated rows; empty tables give an empty result, or default verdicts.
+    No rule: rule is null and verdict `default`. Rules without host or verdict, or with a slash in the host, fit nothing; a null path is
+    empty; a rule's host is taken with A-Z lower-cased. Repeated pages give repeated rows; empty tables give an empty result, or default verdicts.
     """
-    spark, scratch = pages.sparkSession, Scratch(pages.sparkSession, "urls")
+    spark = pages.sparkSession
     u = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("__url"))
     host, path = host_and_path(F.col("__url"))
     u = u.select("page_id", host.alias("host"), path.alias("path"), F.xxhash64("page_id", "__url").alias("salt")).withColumn("key", canonical(F.col("host")))
@@ -96,11 +99,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     keys = sorted((r.key.encode(), r.salt) for r in some)
     bounds = [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
     none = F.lit(None).cast("string")
-    r = rules.filter("host is not null and host <> '' and verdict is not null").select(F.lower("host").alias("h"), F.coalesce("path", F.lit("")).alias("rule_path"), F.col("verdict").cast("string").alias("verdict"))
+    r = rules.filter("host is not null and host <> '' and not contains(host, '/') and verdict is not null").select(F.translate("host", UPPER, LOWER).alias("h"), F.coalesce("path", F.lit("")).alias("rule_path"), F.col("verdict").cast("string").alias("verdict"))
     r = r.select(canonical(F.col("h")).alias("key"), F.lit(0).cast("long").alias("salt"), "verdict", F.lit(None).cast("long").alias("page_id"), none.alias("host"), none.alias("path"), F.concat("h", "rule_path").alias("rule"), "rule_path")
     u = u.select("key", "salt", none.alias("verdict"), "page_id", "host", "path", none.alias("rule"), none.alias("rule_path"))
     both = u.unionByName(r)
-    dealt = both.mapInArrow(_deal(bounds), "key string, salt long, verdict string, page_id long, host string, path string, rule string, rule_path string, part int")
+    dealt = both.mapInArrow(_deal(bounds, even_keys(spark, parts)), "key string, salt long, verdict string, page_id long, host string, path string, rule string, rule_path string, part int")
     ranged = dealt.repartition(parts, "part").sortWithinPartitions("part", "key", F.col("verdict").isNull(), "salt")
     return ranged.mapInArrow(_sweep(default), "page_id long, host string, path string, rule string, verdict string")
 
