@@ -38,23 +38,29 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
     return full
 
 
-def target_table(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, rounds: int = 64) -> DataFrame:
-    """(source, source_size, ...) -> with weight and target. Sources are as many as an aggregation leaves; the ranking is the one
-    step that sees them all in order, and holds a few columns of a source each."""
-    w = F.create_map(*[x for i, v in enumerate(weights) for x in (F.lit(i), F.lit(float(v)))])
-    turn = (F.row_number().over(Window.orderBy(F.col("source").isNull(), F.col("source"))) - 1) % len(weights)
-    t = sizes.withColumn("weight", F.element_at(w, turn.cast("int")))
-    # Filling up: source s is full once the level (target per weight) reaches cap * size / weight. Sorted by that ratio, the
-    # level solves share * total = (cap * size of the full) + level * (weight of the open).
-    ratio = cap * F.col("source_size") / F.col("weight")
-    by = Window.orderBy(ratio, "weight", "source")
-    every = Window.partitionBy(F.lit(1))
-    t = t.withColumn("full", F.sum(cap * F.col("source_size")).over(by.rowsBetween(Window.unboundedPreceding, -1)))
-    t = t.withColumn("open", F.sum("weight").over(by.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    t = t.withColumn("all", F.sum("source_size").over(every) * share)
-    t = t.withColumn("level", (F.col("all") - F.coalesce("full", F.lit(0.0))) / F.col("open"))
-    t = t.withColumn("fits", F.max(F.when(F.col("level") <= ratio, F.col("level"))).over(every))
-    return t.withColumn("target", F.least(cap * F.col("source_size"), F.coalesce("fits", F.lit(math.inf)) * F.col("weight"))).drop("full", "open", "all", "level", "fits")
+def target_table(sizes: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """(source, source_size, ...) -> with weight and target. No step sees all sources in one task: they are ranked within ranges and the ranges
+    counted, and the level up to which they fill, target per weight, is found from a few sums."""
+    ranged = sizes.withColumn("none", F.col("source").isNull()).repartitionByRange(F.col("none"), F.col("source")).withColumn("range", F.spark_partition_id())
+    ranged = scratch.write(ranged, "ranged")
+    counts = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(F.col("range").alias("of"), F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("range").orderBy("none", "source")) - 1
+    by_turn = F.create_map(*[x for i, v in enumerate(weights) for x in (F.lit(i), F.lit(float(v)))])
+    t = ranged.join(F.broadcast(counts), F.col("range") == F.col("of")).withColumn("weight", F.element_at(by_turn, (rank % len(weights)).cast("int"))).drop("none", "range", "of", "before")
+    t = scratch.write(t, "weighted")
+    # A source is full once the level reaches cap * size / weight; what full ones leave is dealt to the others by weight, which
+    # lifts the level, until no more are full.
+    level, most = -1.0, F.col("source_size") * cap
+    while True:
+        full = most < F.lit(level) * F.col("weight")
+        s = t.agg(F.sum("source_size").alias("all"), F.coalesce(F.sum(F.when(full, most)), F.lit(0.0)).alias("full"), F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)).alias("open")).first()
+        new = max(level, ((s["all"] or 0) * share - s["full"]) / s["open"]) if s["open"] > 0 else math.inf
+        if new == level:
+            return t.withColumn("target", F.least(most, F.lit(level) * F.col("weight")))
+        level = new
+        if level == math.inf:
+            return t.withColumn("target", most)
 
 
 def measured(docs: DataFrame, *more: str) -> DataFrame:
@@ -62,10 +68,11 @@ def measured(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words.alias("size"), *more)
 
 
-def fit(sized: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, steps: int = 40, tolerance: float = 1e-6) -> DataFrame:
-    """(doc_id, source, size) -> a row for each source: source_size, longest, target, multiplier lam, threshold line."""
+def fit(sized: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, steps: int = 200, tolerance: float = 1e-6) -> DataFrame:
+    """(doc_id, source, size) -> a row for each source: source_size, longest, target, multiplier lam, threshold line. A Newton step that leaves the
+    bracket is replaced by its middle, so the fit is found; if it is not within `steps`, that is an error."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.max("size").alias("longest"))
-    state = target_table(sums, weights, share, cap).withColumns({"lam": F.lit(0.0), "low": F.lit(float("-inf")), "high": F.lit(float("inf")), "done": F.col("source_size") == 0})
+    state = target_table(sums, scratch, weights, share, cap).withColumns({"lam": F.lit(0.0), "low": F.lit(float("-inf")), "high": F.lit(float("inf")), "done": F.col("source_size") == 0})
     state = scratch.write(state, "state")
     n = state.count()
     x, bent = _tilt()
@@ -91,6 +98,8 @@ def fit(sized: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS
         state = new
         if not state.filter("not done").limit(1).count():
             break
+    else:
+        raise RuntimeError(f"rates of some sources not found in {steps} steps")
 
     rated = _rated(sized, state, cap, n)
     small = rated.select("source", "size", "whole", "target", "source_size", "spot")
