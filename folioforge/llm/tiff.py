@@ -17,18 +17,21 @@ from pyspark.sql import functions as F
 
 # Fixed values of the format: tags, field types (code: struct letter), compressions.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284
-PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
+PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, FILL_ORDER, SAMPLE_FORMAT = 317, 322, 323, 324, 325, 266, 339
 TYPES = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II", 6: "b", 7: "B", 8: "h", 9: "i", 10: "ii", 11: "f", 12: "d"}
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
+#: No stream of these kinds unpacks to more bytes for each of its own (LZW: a code of 12 bits or less stands for up to 4,094 bytes).
+MOST = {NONE: 1, LZW: 3639, DEFLATE: 1032, OLD_DEFLATE: 1032, PACKBITS: 64}
+LARGEST = 2**31 - 4096  # bytes of a page; what a binary column can hold
 
 
 class TiffError(ValueError):
     pass
 
 
-def unpack_bits(data: bytes) -> bytes:
+def unpack_bits(data: bytes, most: int = LARGEST) -> bytes:
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and len(out) < most:
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + 2 + n]
@@ -38,7 +41,7 @@ def unpack_bits(data: bytes) -> bytes:
             i += 2
         else:
             i += 1
-    return bytes(out)
+    return bytes(out[:most])
 
 
 def pack_bits(data: bytes) -> bytes:
@@ -58,33 +61,37 @@ def pack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unlzw(data: bytes) -> bytes:
+def unlzw(data: bytes, most: int = LARGEST) -> bytes:
     """Codes from 9 bits up, most significant first; 256 clears the table, 257 ends; widths change one code early."""
     out, table, width, prev = bytearray(), [bytes((i,)) for i in range(256)] + [b"", b""], 9, None
-    bits, held, at = 0, 0, 0
-    while True:
+    bits, held, at, end = 0, 0, 0, len(data)
+    while len(out) < most:
         while held < width:
-            if at >= len(data):
+            if at >= end:
                 return bytes(out)
             bits, held, at = (bits << 8 | data[at]) & 0xFFFFFF, held + 8, at + 1
         code = bits >> (held - width) & ((1 << width) - 1)
         held -= width
         if code == 257:
-            return bytes(out)
+            break
         if code == 256:
             del table[258:]
             width, prev = 9, None
             continue
         if prev is None:
+            if code > 255:
+                raise TiffError("LZW code out of order")
             entry = table[code]
         else:
-            if code > len(table):
+            if code > len(table) or len(table) >= 4096:
                 raise TiffError("LZW code out of order")
             entry = table[code] if code < len(table) else prev + prev[:1]
             table.append(prev + entry[:1])
+            if len(table) >= 511:
+                width = 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
         out += entry
         prev = entry
-        width = 9 if len(table) < 511 else 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
+    return bytes(out[:most])
 
 
 def lzw(data: bytes) -> bytes:
@@ -124,15 +131,19 @@ def lzw(data: bytes) -> bytes:
     return bytes(out)
 
 
-def decompress(kind: int, data: bytes) -> bytes:
+def decompress(kind: int, data: bytes, most: int = LARGEST) -> bytes:
+    """Up to `most` bytes of what data unpacks to."""
     if kind == NONE:
-        return data
+        return data[:most]
     if kind in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
+        try:
+            return zlib.decompressobj().decompress(data, max(1, most))
+        except zlib.error as e:
+            raise TiffError(f"deflate: {e}") from e
     if kind == LZW:
-        return unlzw(data)
+        return unlzw(data, most)
     if kind == PACKBITS:
-        return unpack_bits(data)
+        return unpack_bits(data, most)
     raise TiffError(f"compression {kind}")
 
 
@@ -149,58 +160,94 @@ def compress(kind: int, data: bytes, width: int) -> bytes:
 
 
 def directories(data: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
-    """The tags of every image directory, in file order; a chain that meets itself or leaves the file is an error."""
+    """The tags of every image directory, in file order; a chain that meets itself or leaves the file is an error. Fields of unknown type
+    are left out; one whose values don't fit the file is too, so that its page, not the walk, fails if it needs it."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if order is None or len(data) < 8 or struct.unpack(order + "H", data[2:4])[0] != 42:
         raise TiffError("not a TIFF file")
     at, seen = struct.unpack(order + "I", data[4:8])[0], set()
-    try:
-        while at:
-            if at in seen:
-                raise TiffError("directories in a circle")
-            seen.add(at)
-            tags = {}
-            (n,) = struct.unpack_from(order + "H", data, at)
-            for i in range(n):
-                tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * i)
-                letters = TYPES.get(kind)
-                if letters is None:
-                    continue
-                form = f"{order}{count * len(letters)}{letters[0]}"
-                place = at + 10 + 12 * i
-                if struct.calcsize(form) > 4:
-                    (place,) = struct.unpack_from(order + "I", data, place)
-                tags[tag] = struct.unpack_from(form, data, place)
-            yield order, tags
-            (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * n)
-    except struct.error as e:
-        raise TiffError(f"directory beyond the file: {e}") from e
+    while at:
+        if at in seen:
+            raise TiffError("directories in a circle")
+        seen.add(at)
+        if at + 2 > len(data):
+            raise TiffError("directory beyond the file")
+        (n,) = struct.unpack_from(order + "H", data, at)
+        if at + 6 + 12 * n > len(data):
+            raise TiffError("directory beyond the file")
+        tags = {}
+        for place in range(at + 2, at + 2 + 12 * n, 12):
+            tag, kind, count = struct.unpack_from(order + "HHI", data, place)
+            letters = TYPES.get(kind)
+            if letters is None or not count:
+                continue
+            size = struct.calcsize(order + letters) * count
+            place += 8
+            if size > 4:
+                (place,) = struct.unpack_from(order + "I", data, place)
+            if place + size <= len(data):
+                tags[tag] = struct.unpack_from(f"{order}{count * len(letters)}{letters[0]}", data, place)
+        yield order, tags
+        (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * n)
+
+
+def _number(tags: dict[int, tuple], tag: int, default: int | None = None) -> int:
+    value = tags.get(tag, (default,))[0]
+    if not isinstance(value, int) or value < 0:
+        raise TiffError(f"tag {tag} missing or no number" if value is None else f"tag {tag} is {value!r}")
+    return value
+
+
+def _numbers(tags: dict[int, tuple], tag: int) -> tuple[int, ...]:
+    values = tags.get(tag, ())
+    if not values or not all(isinstance(v, int) and v >= 0 for v in values):
+        raise TiffError(f"tag {tag} missing or no numbers")
+    return values
 
 
 def read_page(data: bytes, order: str, tags: dict[int, tuple]) -> np.ndarray:
-    """Samples of one page, (height, width, samples), 8 or 16 bits."""
-    w, h, bits, spp = tags[WIDTH][0], tags[HEIGHT][0], tags.get(BITS, (1,)), tags.get(SAMPLES, (1,))[0]
-    kind, predictor, planes = tags.get(COMPRESSION, (1,))[0], tags.get(PREDICTOR, (1,))[0], spp if tags.get(PLANAR, (1,))[0] == 2 else 1
-    if set(bits) not in ({8}, {16}) or predictor not in (1, 2):
-        raise TiffError(f"{bits} bits a sample, predictor {predictor}")
-    dtype = np.dtype(f"{order}u{bits[0] // 8}")
-    per = spp // planes
-    tiled = TILE_OFFSETS in tags
-    offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
-    bw, bh = (tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]) if tiled else (w, min(h, tags.get(ROWS_PER_STRIP, (h,))[0]) or 1)
+    """Samples of one page, (height, width, samples): of 1, 2, 4 or 8 bits in bytes, of 16 or 32 bits in words. Sizes are held against the
+    file before anything is allocated. Whatever is wrong with a page is a TiffError."""
+    w, h, spp = _number(tags, WIDTH), _number(tags, HEIGHT), _number(tags, SAMPLES, 1)
+    bits = set(_numbers(tags, BITS)) if BITS in tags else {1}
+    kind, predictor, split = _number(tags, COMPRESSION, 1), _number(tags, PREDICTOR, 1), _number(tags, PLANAR, 1) == 2
+    deep = bits.pop() if len(bits) == 1 else 0
+    if deep not in (1, 2, 4, 8, 16, 32) or predictor not in (1, 2) or (predictor == 2 and deep < 8) or kind not in MOST:
+        raise TiffError(f"{deep or 'mixed'} bits a sample, predictor {predictor}, compression {kind}")
+    if _number(tags, FILL_ORDER, 1) != 1 or set(tags.get(SAMPLE_FORMAT, (1,))) - {1, 4}:
+        raise TiffError("bits reversed, or samples that are no unsigned numbers")
+    if not (w and h and spp):
+        raise TiffError(f"{w} x {h} pixels of {spp} samples")
+    dtype, planes = np.dtype(f"{order}u{max(deep, 8) // 8}"), spp if split else 1
+    per, tiled = spp // planes, TILE_OFFSETS in tags
+    offsets, counts = _numbers(tags, TILE_OFFSETS if tiled else STRIP_OFFSETS), _numbers(tags, TILE_COUNTS if tiled else STRIP_COUNTS)
+    bw, bh = (_number(tags, TILE_WIDTH), _number(tags, TILE_HEIGHT)) if tiled else (w, min(h, _number(tags, ROWS_PER_STRIP, h)))
+    if not (bw and bh):
+        raise TiffError("blocks without size")
     across, down = -(-w // bw), -(-h // bh)
+    line = -(-bw * per * deep // 8)
     if len(offsets) < across * down * planes or len(counts) != len(offsets):
         raise TiffError("blocks missing")
+    if w * h * spp * dtype.itemsize > LARGEST or bh * line > LARGEST:
+        raise TiffError("page too large for a column")
+    for i in range(across * down * planes):
+        rows = bh if tiled else min(bh, h - i % (across * down) * bh)
+        if offsets[i] + counts[i] > len(data) or rows * line > counts[i] * MOST[kind]:
+            raise TiffError("block too short")
     page = np.zeros((h, w, spp), dtype)
     for i in range(across * down * planes):
         plane, cell = divmod(i, across * down)
         y, x = cell // across * bh, cell % across * bw
         rows = bh if tiled else min(bh, h - y)
-        need = rows * bw * per * dtype.itemsize
-        raw = decompress(kind, data[offsets[i] : offsets[i] + counts[i]])
-        if len(raw) < need:
+        raw = decompress(kind, data[offsets[i] : offsets[i] + counts[i]], rows * line)
+        if len(raw) < rows * line:
             raise TiffError("block too short")
-        block = np.frombuffer(raw, dtype, rows * bw * per).reshape(rows, bw, per)
+        if deep < 8:
+            byte = np.frombuffer(raw, np.uint8, rows * line).reshape(rows, line)
+            shift = np.arange(8 - deep, -1, -deep, dtype=np.uint8)
+            block = (byte[:, :, None] >> shift & ((1 << deep) - 1)).reshape(rows, -1)[:, : bw * per].reshape(rows, bw, per)
+        else:
+            block = np.frombuffer(raw, dtype, rows * bw * per).reshape(rows, bw, per)
         if predictor == 2:
             block = np.cumsum(block, axis=1, dtype=dtype.newbyteorder("="))
         page[y : y + rows, x : x + bw, plane * per : plane * per + per] = block[: h - y, : w - x]
@@ -254,7 +301,9 @@ def pages(files: DataFrame, content: str = "content", key: str = "path") -> Data
     """(key, content binary) -> (key, page int, width, height, samples, bits, pixels binary, error string), a row a page.
 
     Null content gives no row. A file that can't be read gives its good pages and then one row with the error; so does a
-    damaged page, after which the walk goes on. Samples are in native little-endian order, row by row.
+    damaged page, after which the walk goes on. Samples are in native little-endian order, row by row; those under 8 bits fill a byte each.
+    Repeated files give repeated rows, an empty table none; other columns are ignored. Files are read one at a time, and no page takes more
+    memory than its bytes in the file can unpack to, nor more than LARGEST.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +324,7 @@ def pages(files: DataFrame, content: str = "content", key: str = "path") -> Data
                     try:
                         p = read_page(data, order, tags)
                         rows.append((n, p.shape[1], p.shape[0], p.shape[2], 8 * p.dtype.itemsize, p.astype(p.dtype.newbyteorder("<")).tobytes(), None))
-                    except (TiffError, KeyError, zlib.error) as e:
+                    except TiffError as e:
                         rows.append((n, None, None, None, None, None, str(e)))
                     n += 1
                 cols = [pa.array([name.as_py()] * len(rows), b.schema.field(0).type)]
@@ -289,17 +338,22 @@ def pages(files: DataFrame, content: str = "content", key: str = "path") -> Data
 PAGE_ROWS, COLUMNS = 16384, 64  # 1 MB a page: longer payloads run over several pages
 
 
-def store(payload: bytes) -> bytes:
-    """A payload (a positive multiple of 64 bytes) as 8-bit samples, 64 to a row, deflated after horizontal differences."""
+#: Forms of storage (name, compression, predictor, tile), one of which a payload's CRC picks; most payloads are deflated strips.
+FORMS = [("lzw", LZW, 2, None), ("packbits", PACKBITS, 1, None), ("tiles", DEFLATE, 2, (16, 16)), ("plain", NONE, 1, None)] + [("deflate", DEFLATE, 2, None)] * 12
+
+
+def store(payload: bytes) -> tuple[str, bytes]:
+    """A payload (a positive multiple of 64 bytes) as 8-bit samples, 64 to a row, lossless: (name of its form, file)."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, COLUMNS)
-    return write([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], DEFLATE, 2)
+    name, kind, predictor, tile = FORMS[zlib.crc32(payload) % len(FORMS)]
+    return name, write([rows[i : i + PAGE_ROWS] for i in range(0, len(rows), PAGE_ROWS)], kind, predictor, tile=tile)
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """documents -> (doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature).
 
     The text in UTF-8 (null: empty), padded with zeros to a positive multiple of 64 bytes, is stored as a TIFF file, which is read back
-    page by page; all but n_bytes comes from what was read. feature: pages, their sizes, mean and entropy of the samples. A row for each
+    page by page; all but n_bytes comes from what was read. feature: form, pages, their sizes, mean and entropy of the samples. A row for each
     row; equal texts give equal values; an empty table gives an empty result; other columns are ignored.
     """
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
@@ -310,12 +364,12 @@ def round_trip(docs: DataFrame) -> DataFrame:
             rows = []
             for doc, text in zip(b.column(0), b.column(1), strict=True):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                media = store(raw + b"\0" * (-len(raw) % 64 if raw else 64))
+                form, media = store(raw + b"\0" * (-len(raw) % 64 if raw else 64))
                 back = list(read_pages(media))
                 payload = b"".join(p.tobytes() for p in back)
                 count = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
                 share = count[count > 0] / len(payload)
-                feature = f"tiff;pages={len(back)};{'+'.join(f'{p.shape[1]}x{p.shape[0]}' for p in back)};mean={float(count @ np.arange(256)) / len(payload):.4f};entropy={float(-(share * np.log2(share)).sum()) + 0.0:.4f}"
+                feature = f"tiff;{form};pages={len(back)};{'+'.join(f'{p.shape[1]}x{p.shape[0]}' for p in back)};mean={float(count @ np.arange(256)) / len(payload):.4f};entropy={float(-(share * np.log2(share)).sum()) + 0.0:.4f}"
                 rows.append((doc.as_py(), len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature))
             cols = zip(*rows) if rows else [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
