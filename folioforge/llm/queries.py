@@ -95,8 +95,4 @@ t(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.ne
 m AS (SELECT page_id, rhost || rpath AS rule, verdict FROM p JOIN t ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
       QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC) = 1)
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
-    "op7_sharding": f"""
-WITH t AS (SELECT string_split('{",".join(map(str, sharding.lookup_table(sharding.SHARDS)))}', ',') AS slots),
-s AS (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SIZE})::INTEGER AS slot FROM documents)
-SELECT doc_id, slot, 'shard-' || lpad(slots[slot + 1], 3, '0') AS shard FROM s, t""",
 }
