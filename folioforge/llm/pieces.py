@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
 The distinct segments of a batch's texts are concatenated and their suffixes sorted; every piece of the vocabulary is binary-searched for
-its range of suffixes, which are its occurrences. These edges are sorted by position and relaxed: for a model of scored merges, the
+its range of suffixes, which are its occurrences. These edges are sorted by position and relaxed. For a unigram model that is the path of
+greatest score: edges are relaxed in order of their ends, all segments at once. For a model of scored merges, the
 applicable edge of best score, the leftmost of equals, is settled in each segment, round by round, until none is left. An edge
 applies if its ends are borders of present symbols and just one border lies between.
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -30,18 +32,63 @@ ROUNDS = 24
 
 
 def default_model() -> str:
+    """The public vocabulary that every machine here has. Elsewhere pass a path: one that executors can open, or a file's name that
+    SparkContext.addFile has shipped."""
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def local_path(path: str) -> str:
+    """On an executor: the file itself, or where addFile put it."""
+    from pyspark import SparkFiles
+
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+
+
+def model_type(data: bytes) -> int:
+    """1: unigram, 2: merges, of a vocabulary file (field 3 of its second field, in protocol buffers)."""
+
+    def fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
+        at = 0
+
+        def number() -> int:
+            nonlocal at
+            n = shift = 0
+            while True:
+                n |= (b[at] & 127) << shift
+                at, shift = at + 1, shift + 7
+                if b[at - 1] < 128:
+                    return n
+
+        while at < len(b):
+            tag = number()
+            if tag & 7 == 0:
+                yield tag >> 3, number()
+            else:
+                size = number() if tag & 7 == 2 else 8 if tag & 7 == 1 else 4
+                yield tag >> 3, b[at : at + size]
+                at += size
+
+    kind = 1
+    for field, value in fields(data):
+        if field == 2 and isinstance(value, bytes):
+            kind = next((v for f, v in fields(value) if f == 3 and isinstance(v, int)), kind)
+    return kind
+
+
 class Model:
     """A vocabulary file's pieces and scores. Identity normalisation, a blank put before the text, byte fallback if there are byte pieces."""
 
     def __init__(self, path: str):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(path, "rb") as f:
+            data = f.read()
+        self.unigram = (kind := model_type(data)) == 1
+        if kind not in (1, 2):
+            raise ValueError("neither a unigram model nor one of merges")
+        sp = sentencepiece.SentencePieceProcessor(model_proto=data)
         n = sp.get_piece_size()
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         self.unk = sp.unk_id()
@@ -50,7 +97,11 @@ class Model:
         if any(re.search(f"[^{BLANK}]{BLANK}", self.pieces[i]) for i in usual):
             raise ValueError("a piece holds a blank after another character")
         self.id_of = {self.pieces[i]: i for i in usual}
+        if BLANK not in self.id_of:
+            raise ValueError("no piece for a blank")
         scores = sorted({sp.get_score(i) for i in usual}, reverse=True)
+        self.score = np.array([sp.get_score(i) for i in range(n)], np.float32)
+        self.unknown = np.float32(min(scores, default=0.0) - 10)  # of a character without a piece, on a path
         order = {s: r for r, s in enumerate(scores)}
         self.alphabet = {c: k + 2 for k, c in enumerate(sorted({c for p in self.id_of for c in p}))}  # 0: border, 1: any other
         if len(self.alphabet) > 65_000:
@@ -130,6 +181,8 @@ class Model:
         text = self.codes[chars]
         text[first + size] = 0
         start, end, piece = self.edges(text)
+        if self.unigram:
+            return self._best(text, chars, first, size, start, end, piece)
         border = np.ones(len(text) + 1, np.int8)
         owner = np.searchsorted(first, start, "right") - 1
         rank = self.rank[piece]
@@ -158,15 +211,52 @@ class Model:
             _settle(border, symbol, start, end, rank, self.long[piece])
         at = np.flatnonzero(border[:-1])
         at = at[text[at] != 0]
-        ids, count = symbol[at], np.ones(len(at), np.int64)
+        return self._spelt(symbol[at], chars[at], at, first, len(segments))
+
+    def _best(self, text: np.ndarray, chars: np.ndarray, first: np.ndarray, size: np.ndarray, start: np.ndarray, end: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """segment() for a unigram model: paths of greatest score, of equals the one whose last piece is longest. A character without a piece can
+        always be stepped over, at a score below any piece's. Scores are summed within a segment; the library sums over a whole text, so where
+        paths are equal but for rounding it may choose another."""
+        inside = np.flatnonzero(text != 0)
+        one = self.single[text[inside]]
+        start, end = np.concatenate([start, inside]), np.concatenate([end, inside + 1])
+        ids = np.concatenate([self.long[piece], one])
+        score = np.concatenate([self.score[self.long[piece]], np.where(one >= 0, self.score[one], self.unknown)])
+        owner = np.searchsorted(first, start, "right") - 1
+        order = np.lexsort((start, end, end - first[owner]))  # all edges that end so many characters into their segments, then by end and start
+        start, end, ids, score, depth = start[order], end[order], ids[order], score[order], (end - first[owner])[order]
+        total, back = np.zeros(len(text) + 1, np.float32), np.full(len(text) + 1, -1, np.int64)
+        cuts = np.flatnonzero(np.r_[True, np.diff(depth) != 0, True]) if len(depth) else np.zeros(1, np.int64)
+        for a, z in zip(cuts, cuts[1:]):
+            cand, to = total[start[a:z]] + score[a:z], end[a:z]
+            group = np.flatnonzero(np.r_[True, np.diff(to) != 0])
+            top = np.maximum.reduceat(cand, group)
+            hit = np.flatnonzero(cand == np.repeat(top, np.diff(np.r_[group, z - a])))
+            hit = hit[np.r_[True, np.diff(to[hit]) != 0]]  # the first of equals starts first
+            total[to[hit]], back[to[hit]] = top, a + hit
+        used, at = [], (first + size)[size > 0]
+        while len(at):  # one step back in every segment
+            e = back[at]
+            used.append(e)
+            at = start[e]
+            at = at[~np.isin(at, first)]
+        e = np.concatenate([np.zeros(0, np.int64), *used])
+        e = e[np.argsort(start[e], kind="stable")]
+        return self._spelt(ids[e], chars[start[e]], start[e], first, len(size))
+
+    def _spelt(self, ids: np.ndarray, chars: np.ndarray, at: np.ndarray, first: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids with characters that have no piece (-1) as their bytes, or as the unknown piece, once for several in a row."""
+        count = np.ones(len(at), np.int64)
         lost = np.flatnonzero(ids < 0)
         if len(lost):  # characters without a piece: their bytes, or the unknown piece
-            fall = [[self.byte[b] for b in chr(c).encode("utf-8", "surrogatepass")] if self.byte else [self.unk] for c in chars[at[lost]].tolist()]
+            own = np.searchsorted(first, at[lost], "right")
+            goes_on = np.r_[False, (np.diff(lost) == 1) & (np.diff(own) == 0)]
+            fall = [[self.byte[b] for b in chr(c).encode("utf-8", "surrogatepass")] if self.byte else [self.unk] * (not more) for c, more in zip(chars[lost].tolist(), goes_on.tolist(), strict=True)]
             count[lost] = [len(f) for f in fall]
             whole = np.repeat(ids, count)
             whole[np.repeat(np.isin(np.arange(len(at)), lost), count)] = [x for f in fall for x in f]
             ids = whole
-        sizes = np.bincount(np.searchsorted(first, at, "right") - 1, count, minlength=len(segments)).astype(np.int64)
+        sizes = np.bincount(np.searchsorted(first, at, "right") - 1, count, minlength=segments).astype(np.int64)
         return sizes, ids.astype(np.int32)
 
     def decode(self, ids: list[int]) -> str:
@@ -199,7 +289,7 @@ def _settle(border: np.ndarray, symbol: np.ndarray, start: np.ndarray, end: np.n
 
 @cache
 def model(path: str) -> Model:
-    return Model(path)
+    return Model(local_path(path))
 
 
 class Encoder:
