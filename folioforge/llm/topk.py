@@ -5,7 +5,9 @@ sum n * ((m_q - m_x)^2 + (s_q - s_x)^2), so at most q.x <= sum n * (m_q * m_x +
 on what is left, and exact products are computed for survivors only. A pair is dropped only if its bound lies under the k-th best
 score that the query is known to have: at first on a bounded sample of vectors, then on what the task has met.
 
-Queries come in blocks of a bounded size, each sent to all tasks; a task keeps k rows a query. Scores are exact integers.
+Vectors are dealt out to parts of a bounded size. A task holds one part at a time and lets all queries, of which each part has a copy, stream
+past it in blocks; it gives k rows a query and part at most. Neither the driver nor a task ever holds all queries or all vectors. Scores
+are exact integers.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import Scratch
+from folioforge.llm.common import Scratch, even_keys
 
-BLOCK = 4096  # queries sent out at once (expected)
+BLOCK = 2048  # vectors, and queries, that are compared at once
+PART = (4096, 131_072)  # vectors of a part: two parts a core, but not below or above this
 SAMPLE = 1024  # vectors from which the first k-th best scores are taken
 LEVELS = (4, 16)  # segments, coarse to fine
 LONG = (1 << 63) - 1
@@ -65,15 +68,14 @@ def sides(ids: list, vectors: list, scale: int, query: bool) -> dict[tuple[int,
     return {k: Side(np.array(a, np.int64), np.array(b).reshape(len(a), k[0]), query) for k, (a, b) in groups.items()}
 
 
-def arrow_sides(b: pa.RecordBatch, scale: int) -> dict[tuple[int, bool], Side]:
-    """sides() of a batch; without a detour over Python objects where all vectors are of one length, complete and of usual size."""
-    v = b.column(1)
-    flat, n = v.flatten(), b.num_rows
-    if n and not b.column(0).null_count and not v.null_count and not flat.null_count and len(set(np.diff(v.offsets.to_numpy()).tolist())) == 1:
-        y = np.floor(flat.to_numpy().reshape(n, -1) * float(scale))
+def arrow_sides(ids: pa.Array, v: pa.Array, scale: int) -> dict[tuple[int, bool], Side]:
+    """sides() of vectors under Arrow; without a detour over Python objects where all are of one length, complete and of usual size."""
+    flat, n = v.flatten(), len(v)
+    if n and not ids.null_count and not v.null_count and not flat.null_count and len(set(np.diff(v.offsets.to_numpy()).tolist())) == 1:
+        y = np.floor(flat.to_numpy().astype(np.float64).reshape(n, -1) * float(scale))
         if np.isfinite(y).all() and np.abs(y).max(initial=0) < 2**24:
-            return {(y.shape[1], False): Side(b.column(0).to_numpy(), y.astype(np.int64), False)}
-    return sides(b.column(0).to_pylist(), v.to_pylist(), scale, False)
+            return {(y.shape[1], False): Side(ids.to_numpy(), y.astype(np.int64), False)}
+    return sides(ids.to_pylist(), v.to_pylist(), scale, False)
 
 
 def products(q: Side, c: Side, qi: np.ndarray, ci: np.ndarray) -> np.ndarray:
@@ -134,43 +136,70 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
     Fewer than k candidates: all of them. Empty tables give an empty result; other columns are ignored.
     """
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession, "topk")
-    kind = "array<double>"
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter("vec_id is not null and embedding is not null")
-    q = queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter("vec_id is not null and embedding is not null")
-    q = scratch.write(q.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
+    kinds = {d.schema["embedding"].dataType.simpleString() for d in (vectors, queries)}
+    kind = kinds.pop() if len(kinds) == 1 and kinds <= {"array<float>", "array<double>"} else "array<double>"
+    known = "vec_id is not null and embedding is not null"
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter(known)
+    q = queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter(known)
     some = v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
-    known = sides([r.vec_id for r in some], [r.embedding for r in some], scale, False)
-    blocks = max(1, -(-q.count() // BLOCK))
-    out = None
-    for b in range(blocks):
-        rows = q.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()
-        asked = sides([r.vec_id for r in rows], [r.embedding for r in rows], scale, True)
-        one = v.mapInArrow(_block(asked, known, k, scale), "query_id long, vec_id long, score long")
-        out = one if out is None else out.unionByName(one)
+    q = q.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    q = scratch.write(q.mapInArrow(_floors([r.vec_id for r in some], [r.embedding for r in some], k, scale), f"vec_id long, embedding {kind}, floor long"), "queries")
+    size = min(PART[1], max(PART[0], v.count() // (2 * spark.sparkContext.defaultParallelism) + 1))
+    parts = -(-v.count() // size) or 1
+    names = F.array(*map(F.lit, even_keys(spark, parts)))
+    # copies of a row go to one part, so that a vec_id is dealt out by itself, not by its number of rows
+    mine = F.element_at(names, F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(parts)).cast("int") + 1)
+    rows = v.select(mine.alias("part"), F.lit(False).alias("asks"), "vec_id", "embedding", F.lit(None).cast("long").alias("floor"))
+    asked = q.select(F.explode(names).alias("part"), F.lit(True).alias("asks"), "vec_id", "embedding", "floor")
+    dealt = rows.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "asks")
+    found = dealt.mapInArrow(_part(k, scale), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _block(asked: dict, known: dict, k: int, scale: int):
-    floors = {}
-    for key, q in asked.items():
-        first = [Search(q, k)]
-        for other, c in known.items():
-            if other[0] == key[0]:
-                first[0].meet(c)
-        # copies of one vec_id in the sample are one each in the table as well, so the k-th best of the sample is a bound
-        floors[key] = first[0].floor
+def _floors(ids: list, vectors: list, k: int, scale: int):
+    """Adds to each query the k-th best score that it has on the sample, if it has so many. Copies of one vec_id in the sample are one each in the
+    table as well, so that is a bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = {key: Search(q, k, floors[key]) for key, q in asked.items()}
+        known = sides(ids, vectors, scale, False)
         for b in batches:
-            for s in range(0, b.num_rows, 2048):
-                part = b.slice(s, 2048)
-                for (size, _), c in arrow_sides(part, scale).items():
-                    for key, f in found.items():
-                        if key[0] == size:
-                            f.meet(c)
-        for f in found.values():
-            yield pa.RecordBatch.from_arrays([pa.array(f.q.ids[f.qi]), pa.array(f.ids), pa.array(f.scores)], ["query_id", "vec_id", "score"])
+            floor = np.full(b.num_rows, -LONG - 1, np.int64)
+            place = {x: i for i, x in enumerate(b.column(0).to_pylist())}
+            for (size, _), q in sides(b.column(0).to_pylist(), b.column(1).to_pylist(), scale, True).items():
+                first = Search(q, k)
+                for (other, _), c in known.items():
+                    if other == size:
+                        first.meet(c)
+                floor[[place[x] for x in q.ids.tolist()]] = first.floor
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(floor)], ["vec_id", "embedding", "floor"])
+
+    return run
+
+
+def _part(k: int, scale: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            keys = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32)])
+            cuts = [0, *(np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, z in zip(cuts, cuts[1:]):
+                if a == z:
+                    continue
+                if keys[0, a] != part:
+                    part, held = keys[0, a], []
+                for s in range(a, z, BLOCK):
+                    some = batch.slice(s, min(BLOCK, z - s))
+                    ids, vectors = some.column(2), some.column(3)
+                    if not keys[1, a]:
+                        held += arrow_sides(ids, vectors, scale).items()
+                        continue
+                    floors = dict(zip(ids.to_pylist(), some.column(4).to_pylist(), strict=True))
+                    for (size, _), q in sides(ids.to_pylist(), vectors.to_pylist(), scale, True).items():
+                        f = Search(q, k, np.array([floors[x] for x in q.ids.tolist()], np.int64))
+                        for (other, _), c in held:
+                            if other == size:
+                                f.meet(c)
+                        yield pa.RecordBatch.from_arrays([pa.array(f.q.ids[f.qi]), pa.array(f.ids), pa.array(f.scores)], ["query_id", "vec_id", "score"])
 
     return run
