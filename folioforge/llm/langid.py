@@ -19,7 +19,8 @@ DIM = 1024
 TRAIN_ROWS = 20_000  # bound of the labelled sample (expected rows) from which prototypes are made
 MAX_LANGS = 4096
 UNDETERMINED = "und"
-ROOM = 24_000  # trigram vectors that a task remembers
+ROOM = 32_768  # letters whose vectors a task remembers
+PIECE, SLICE = 65_536, 4096  # letters of a text that are counted, and trigrams that are made and added, at once
 
 
 @cache
@@ -29,50 +30,74 @@ def letters() -> np.ndarray:
 
 class Profiles:
     def __init__(self, dim: int = DIM):
-        self.dim, self.letter, self.place = dim, {}, {}
-        self.vectors = np.empty((1024, dim), np.float32)
+        self.dim, self.place = dim, {}
+        self.turned = np.empty((3, 256, dim), np.int8)  # letters' vectors, rotated by no, one and two places
 
     def of_letter(self, c: int) -> np.ndarray:
-        v = self.letter.get(c)
-        if v is None:
-            v = self.letter[c] = np.random.Generator(np.random.PCG64([self.dim, c])).integers(0, 2, self.dim).astype(np.int8) * 2 - 1
-        return v
-
-    def row(self, gram: int) -> int:
-        at = self.place.get(gram)
-        if at is None:
-            at = self.place[gram] = len(self.place)
-            if at == len(self.vectors):
-                self.vectors = np.concatenate([self.vectors, np.empty_like(self.vectors)])
-            a, b, c = gram >> 42, gram >> 21 & 0x1FFFFF, gram & 0x1FFFFF
-            self.vectors[at] = np.roll(self.of_letter(a), 2) * np.roll(self.of_letter(b), 1) * self.of_letter(c)
-        return at
+        return np.random.Generator(np.random.PCG64([self.dim, c])).integers(0, 2, self.dim).astype(np.int8) * 2 - 1
+
+    def rows(self, letters: np.ndarray) -> np.ndarray:
+        """Rows of `turned` that hold these distinct letters."""
+        new = [c for c in letters.tolist() if c not in self.place]
+        if len(self.place) + len(new) > ROOM:
+            self.place, self.turned, new = {}, self.turned[:, :256], letters.tolist()
+        while len(self.place) + len(new) > self.turned.shape[1]:
+            self.turned = np.concatenate([self.turned, np.empty_like(self.turned)], axis=1)
+        for c in new:
+            at = self.place[c] = len(self.place)
+            v = self.of_letter(c)
+            for turn in range(3):
+                self.turned[turn, at] = np.roll(v, turn)
+        return np.fromiter(map(self.place.__getitem__, letters.tolist()), np.int64, len(letters))
+
+    def vectors(self, grams: np.ndarray) -> np.ndarray:
+        """(grams, dim): the product of each trigram's three letters, rotated by two, one and no places."""
+        parts = np.stack([grams >> np.uint64(42), grams >> np.uint64(21) & np.uint64(0x1FFFFF), grams & np.uint64(0x1FFFFF)])
+        letters, which = np.unique(parts, return_inverse=True)
+        at = self.rows(letters)[which.reshape(parts.shape)]
+        return (self.turned[2, at[0]] * self.turned[1, at[1]] * self.turned[0, at[2]]).astype(np.float32)
 
     @staticmethod
-    def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct trigrams around a letter, other characters being one blank (0), and their counts."""
+    def grams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Trigrams around a letter, other characters being one blank (0), and their counts; distinct within each PIECE letters."""
         c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        c = np.concatenate([[0], np.where(letters()[c], c, 0), [0]]).astype(np.uint64)
+        c = np.concatenate([[0], np.where(letters()[c], c, 0), [0]]).astype(np.uint32)
         c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]
-        g = c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]
-        return np.unique(g[c[1:-1] != 0], return_counts=True)
+        for at in range(0, len(c) - 2, PIECE):
+            x = c[at : at + PIECE + 2].astype(np.uint64)
+            g = x[:-2] << np.uint64(42) | x[1:-1] << np.uint64(21) | x[2:]
+            yield np.unique(g[x[1:-1] != 0], return_counts=True)
 
     def bundle(self, texts: list[str | None]) -> np.ndarray:
-        """A row of sums for each text; zeros for a text without letters."""
+        """A row of sums for each text; zeros for a text without letters. Memory is bounded by PIECE, SLICE and ROOM, whatever the
+        texts: trigrams are counted by pieces of a text, and their vectors made and added by slices."""
         out = np.zeros((len(texts), self.dim), np.float32)
-        for at in range(0, len(texts), 128):
-            if len(self.place) > ROOM:
-                self.place, self.vectors = {}, self.vectors[:1024]
-            got = [self.grams(t) if t else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for t in texts[at : at + 128]]
-            distinct, place = np.unique(np.concatenate([g for g, _ in got]), return_inverse=True)
-            rows = np.fromiter((self.row(int(g)) for g in distinct), np.int64, len(distinct))
-            owner = np.repeat(np.arange(len(got)), [len(g) for g, _ in got])
-            counts = np.zeros((len(got), len(distinct)), np.float32)
-            counts[owner, place] = np.concatenate([n for _, n in got])
-            for s in range(0, len(distinct), 16384):
-                out[at : at + 128] += counts[:, s : s + 16384] @ self.vectors[rows[s : s + 16384]]
+        held, n = [], 0
+        for i, t in enumerate(texts):
+            for g, count in self.grams(t) if t else ():
+                held.append((i, g, count))
+                n += len(g)
+                if n >= PIECE or len(held) >= 128:
+                    self._add(out, held)
+                    held, n = [], 0
+        self._add(out, held)
         return out
 
+    def _add(self, out: np.ndarray, held: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        if not held:
+            return
+        distinct, place = np.unique(np.concatenate([g for _, g, _ in held]), return_inverse=True)
+        owner = np.repeat(np.arange(len(held)), [len(g) for _, g, _ in held])
+        count = np.concatenate([c for _, _, c in held])
+        order = np.argsort(place, kind="stable")
+        owner, count, place = owner[order], count[order], place[order]
+        for s in range(0, len(distinct), SLICE):
+            part = distinct[s : s + SLICE]
+            a, b = np.searchsorted(place, (s, s + len(part)))
+            counts = np.zeros((len(held), len(part)), np.float32)
+            counts[owner[a:b], place[a:b] - s] = count[a:b]
+            np.add.at(out, [i for i, _, _ in held], counts @ self.vectors(part))
+
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
