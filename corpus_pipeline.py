@@ -1,43 +1,44 @@
-"""From raw documents to token ids: language ID, SimHash near-dedup, substring dedup, mixing to target weights, SentencePiece."""
+"""From raw documents to token ids: language ID, SimHash near-dedup, substring dedup, mixing to target weights, SentencePiece.
+
+Stages take documents (doc_id, text, lang, source, n_chars) with any further columns, whatever their names, and keep all columns; the last one
+returns tokens instead. An empty table gives an empty result. Nulls and repeated rows: see each stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from folioforge.llm import langid, mixing, pieces, simhash, substring
-from folioforge.llm.common import Scratch
-
-#: Five-word shingles of Jaccard similarity 0.8 differ in about 39 of 256 bits, of 0.75 in about 45.
-NEAR_BITS, NEAR_DISTANCE, NEAR_GUARANTEE, NEAR_PARTS, NEAR_PROBES = 256, 45, 32, 11, 6
-#: What links must have, by exact comparison.
-NEAR_SIMILARITY = 0.8
+from folioforge.llm.common import Scratch, released
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that some language claims. Prototypes come from the labelled documents that are not held out."""
+    """Documents that some language claims. Prototypes come from the labelled documents that are not held out, without an id or a lang a row only
+    is judged. Null texts and texts without a letter go; repeated rows go or stay together; of equally near languages it matters not which."""
     return langid.keep_identified(docs, langid.train(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each group of near-duplicates; rows without doc_id stay."""
-    found = simhash.near_duplicates(docs, k=5, bits=NEAR_BITS, max_distance=NEAR_DISTANCE, guarantee=NEAR_GUARANTEE, parts=NEAR_PARTS, probes=NEAR_PROBES, similarity=NEAR_SIMILARITY)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id == gone["__gone"], "left_anti")
+    """The document of smallest doc_id of each group of near-duplicates, joined by pairs of a similarity of 0.8 or more of their sets of five-word
+    shingles. Null, empty and blank texts are alike, so one stays; rows without doc_id stay; rows that repeat a doc_id go or stay together."""
+    return simhash.first_of_each(docs, k=5, similarity=0.8, recall=0.97)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 50 words or more that a document of smaller doc_id has too."""
+    """Texts without the passages of 50 words or more that a document of smaller doc_id has too; a document left without a word goes. Null texts
+    and rows without doc_id stay as they are; rows that repeat a doc_id are one document's and take nothing from each other."""
     return substring.deduplicate(docs, size=50)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it: not at all, once or twice. Null is a source like any other; texts without words, null ones
+    among them, are taken once; repeated rows are mixed each by itself, all alike."""
     return mixing.mixed_rows(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, checked by decoding."""
+    """(doc_id, n_chars, n_tokens, ids_sha256, decoded_sha256, same, ids) of each row, checked by decoding; text, lang, source and other columns
+    are not carried on. Null text: no tokens, and same is null; a row for each row, so repeated rows stay."""
     return pieces.round_trip(docs, with_ids=True)
 
 
@@ -53,10 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark, "pipeline")
+    scratch, before = Scratch(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = scratch.write(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        with released():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            scratch.drop(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
