@@ -10,7 +10,7 @@ TO_SPACE = ""
 DELETED = " \u0010\u0009‍"
 TSHEG_VARIANT, TSHEG = "༌", "་"
 WYLIE_REPLACEMENTS = (
-    ("\\u0f85", "&"), ("\\u0f09", "*"), ("\\u0f0a", "*"), ("\\u0f13", "*"), ("\\u0f0b", " "), ("\\u0f0c", " "), ("\\u0f38", "&"), ("\\u0f8c", "&"),
+    ("\\u0f85", "&"), ("\\u0f09", "ä"), ("\\u0f13", "ö"), ("\\u0f12", "ü"), ("\\u0fd3", "@"), ("\\u0fd4", "#"), ("\\u0f00", "oM"), ("\\u0f7f", "}"),
     ("＠", "@"), ("।", "|"), ("*", " "), ("  ", " "), ("_", ""), ("[", ""), ("]", ""), (" ", "§"),
 )
 
@@ -42,9 +42,12 @@ def characters(c: Column) -> Column:
 
 
 def encode_label(c: Column, charset: list[str]) -> Column:
-    """1-based places in the charset; -1 for a character that it lacks."""
-    symbols = F.array(*map(F.lit, charset))
-    return F.transform(characters(c), lambda x: F.coalesce(F.nullif(F.array_position(symbols, x), F.lit(0)), F.lit(-1)).cast("int"))
+    """1-based places in the charset; -1 for a character that it lacks. Of a symbol that the charset holds twice, the first place."""
+    if all(len(s) == 1 for s in charset):
+        place = lambda x: F.call_function("instr", F.lit("".join(charset)), x)
+    else:
+        place = lambda x: F.array_position(F.array(*map(F.lit, charset)), x)
+    return F.transform(characters(c), lambda x: F.coalesce(F.nullif(place(x).cast("int"), F.lit(0)), F.lit(-1)))
 
 
 def decode_label(ids: Column, charset: list[str]) -> Column:
@@ -58,6 +61,14 @@ def first_line(c: Column) -> Column:
     return F.split(c, "\n", 2)[0]
 
 
+def vocabulary(charset: str | list[str], add_blank: bool) -> tuple[list[str], int]:
+    """A model's output symbols and the place of the blank: put first where the charset lacks one, else that of "<blk>", or of " ", or the first."""
+    symbols = list(charset)
+    if add_blank:
+        return ["<blk>", *symbols], 0
+    return symbols, next((symbols.index(b) for b in ("<blk>", " ") if b in symbols), 0)
+
+
 def stacks(c: Column) -> Column:
     """Tokens of stacked script: a base letter with its subjoined letters and vowel signs; anything else one character each."""
     return F.regexp_extract_all(c, F.lit("([\\u0F40-\\u0F6C][\\u0F71-\\u0F87\\u0F8D-\\u0FBC\\u0F39]*|[^\\u0F40-\\u0F6C])"), F.lit(1))
