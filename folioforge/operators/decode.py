@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.functions.scalars import argmax, length_normalised_confidence
+from folioforge.functions.scalars import argmax, length_normalised_confidence, let
 
 
 def steps_of(logits: Column, steps: int, symbols: int) -> Column:
@@ -17,9 +17,11 @@ def steps_of(logits: Column, steps: int, symbols: int) -> Column:
 
 
 def greedy_path(logits: Column, steps: int, symbols: int, blank: int = 0) -> Column:
-    """Best symbol of each step, repeats merged, blanks out."""
+    """Best symbol of each step, repeats merged, blanks out. Linear: the path is made once and laid beside itself, one step on."""
     best = F.transform(steps_of(logits, steps, symbols), argmax)
-    return F.filter(best, lambda s, i: (s != blank) & ((i == 0) | (s != F.get(best, i - 1))))
+    kept = lambda s, before: F.when((s != blank) & (s != before), s)
+    path = let(best, lambda path: F.array_compact(F.zip_with(path, F.concat(F.array(F.lit(-1)), path), kept)))
+    return F.when(logits.isNotNull(), path)
 
 
 def greedy_text(logits: Column, steps: int, charset: list[str]) -> Column:
