@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 def resize(img: np.ndarray, width: int, height: int) -> np.ndarray:
     """Bilinear, by pixel centres, edges repeated."""
     h, w = img.shape[:2]
+    if (h, w) == (height, width):
+        return img
     y = np.clip((np.arange(height) + 0.5) * h / height - 0.5, 0, h - 1)
     x = np.clip((np.arange(width) + 0.5) * w / width - 0.5, 0, w - 1)
     y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
@@ -73,36 +75,54 @@ def gaussian(size: int) -> np.ndarray:
     return k / k.sum()
 
 
+def blur(g: np.ndarray, block: int) -> np.ndarray:
+    """Gaussian mean over block x block pixels, edges repeated; one tap at a time, over whole rows and columns."""
+    k, r = gaussian(block), block // 2
+    p = np.pad(g, r, mode="edge")
+    p = sum(k[j] * p[j : j + g.shape[0]] for j in range(block))
+    return sum(k[j] * p[:, j : j + g.shape[1]] for j in range(block))
+
+
 def binarise(img: np.ndarray, adaptive: bool = True, block: int = 51, c: float = 13) -> np.ndarray:
     """Black and white in three channels: against the local gaussian mean less c, or against 120."""
     g = grey(img).astype(np.float64)
-    if adaptive:
-        k, r = gaussian(block), block // 2
-        p = np.pad(g, r, mode="edge")
-        p = np.apply_along_axis(np.convolve, 0, p, k, "valid")
-        limit = np.floor(np.apply_along_axis(np.convolve, 1, p, k, "valid") + 0.5) - c
-    else:
-        limit = 120
+    limit = np.floor(blur(g, block) + 0.5) - c if adaptive else 120
     return np.repeat(np.where(g > limit, 255, 0).astype(np.uint8)[..., None], 3, axis=2)
 
 
-def pad_line(img: np.ndarray, width: int, height: int, value: int = 255) -> np.ndarray:
-    """To the side that is relatively shorter of room, then centred."""
-    wide = width / img.shape[1] <= height / img.shape[0]
-    img, _ = resize_to_width(img, width) if wide else resize_to_height(img, height)
-    img = img[:height, :width]
+def pad_to_width(img: np.ndarray, width: int, height: int, value: int = 0) -> np.ndarray:
+    """Resized to the width, then centred in the height; an error if it is higher than that."""
+    img, _ = resize_to_width(img, width)
+    return _centred(img, width, height, value)
+
+
+def pad_to_height(img: np.ndarray, width: int, height: int, value: int = 0) -> np.ndarray:
+    img, _ = resize_to_height(img, height)
+    return _centred(img, width, height, value)
+
+
+def _centred(img: np.ndarray, width: int, height: int, value: int) -> np.ndarray:
+    if img.shape[0] > height or img.shape[1] > width:
+        raise ValueError(f"{img.shape[1]} x {img.shape[0]} pixels don't fit {width} x {height}")
     top, left = (height - img.shape[0]) // 2, (width - img.shape[1]) // 2
     out = np.full((height, width, *img.shape[2:]), value, img.dtype)
     out[top : top + img.shape[0], left : left + img.shape[1]] = img
     return out
 
 
-def prepare_line(img: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Recognition input (1, height, width) in -1..1: white squares at both ends, padded, black and white."""
-    h = img.shape[0]
-    side = np.full((h, h, *img.shape[2:]), 255, img.dtype)
-    img = binarise(pad_line(np.concatenate([side, img, side], axis=1), width, height))
-    return (grey(img).astype(np.float32) / 127.5 - 1)[None]
+def pad_line(img: np.ndarray, width: int, height: int, value: int = 0) -> np.ndarray:
+    """To the side that is relatively shorter of room, then centred on black, or on `value`."""
+    to = pad_to_width if width / img.shape[1] <= height / img.shape[0] else pad_to_height
+    return to(img, width, height, value)
+
+
+def prepare_line(img: np.ndarray, width: int, height: int, prepad: bool = False) -> np.ndarray:
+    """Recognition input (1, height, width) in -1..1: padded, black and white; with prepad, white squares at both ends first."""
+    if prepad:
+        side = np.full((img.shape[0], img.shape[0], *img.shape[2:]), 255, img.dtype)
+        img = np.concatenate([side, img, side], axis=1)
+    img = binarise(pad_line(img, width, height))
+    return (img[..., 0].astype(np.float32) / 127.5 - 1)[None]
 
 
 def crop_prediction(mask: np.ndarray, pad_x: int, pad_y: int, width: int, height: int) -> np.ndarray:
@@ -133,19 +153,27 @@ def sample(img: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def mask_and_crop(img: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """White outside the mask; rows and columns that the mask leaves empty go, inner ones too."""
-    on = mask > 0
-    out = np.where(on.reshape(*on.shape, *(1,) * (img.ndim - 2)), img, 255).astype(img.dtype)
-    return out[on.any(axis=1)][:, on.any(axis=0)]
+    """(height, width, channels): black outside the mask; then rows, and after them columns, go in which a channel is black throughout, inner ones too."""
+    img = img if img.ndim == 3 else img[:, :, None]
+    out = np.where((mask > 0)[:, :, None], img, 0).astype(img.dtype)
+    out = out[out.any(axis=1).all(axis=1)]
+    return out[:, out.any(axis=0).all(axis=1)]
 
 
 def dilate(mask: np.ndarray, kw: int, kh: int) -> np.ndarray:
-    """By a rectangle kw wide and kh high, anchored at its middle."""
+    """By a rectangle kw wide and kh high, anchored at its middle: each pixel takes the greatest of those from k // 2 before it on."""
     out = mask
-    for axis, k in ((1, max(1, kw)), (0, max(1, kh))):
-        a = k // 2
-        p = np.pad(out, [(k - 1 - a, a) if axis == 0 else (0, 0), (k - 1 - a, a) if axis == 1 else (0, 0)])
-        out = np.lib.stride_tricks.sliding_window_view(p, k, axis=axis).max(axis=-1)
+    for axis, k in ((1, kw), (0, kh)):
+        a, n = k // 2, out.shape[axis]
+        p = np.pad(out, [(a, k - 1 - a) if axis == 0 else (0, 0), (a, k - 1 - a) if axis == 1 else (0, 0)])
+        done = 1
+        while done < k:  # maxima of 1, 2, 4, ... pixels
+            step = min(done, k - done)
+            low, high = [slice(None)] * 2, [slice(None)] * 2
+            low[axis], high[axis] = slice(0, p.shape[axis] - step), slice(step, None)
+            p = np.maximum(p[tuple(low)], p[tuple(high)])
+            done += step
+        out = p[:n] if axis == 0 else p[:, :n]
     return out
 
 
@@ -153,28 +181,20 @@ AROUND = ((0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1), (-1, 0), (-1, 1))
 
 
 def contours(mask: np.ndarray) -> list[np.ndarray]:
-    """Borders of 8-connected regions and of their holes, as (n, 2) arrays of x, y, straight runs reduced to their ends."""
+    """Borders of 8-connected regions and of their holes, as (n, 2) arrays of x, y, straight runs reduced to their ends. In the order of their first
+    pixels, row by row. Only pixels at the end of a run in their row can start one."""
     on = np.pad(mask > 0, 1)
+    outer = on & ~np.roll(on, 1, axis=1)  # an outer border starts right of a gap, a hole's border left of one
+    hole = on & ~np.roll(on, -1, axis=1)
+    y, x = np.nonzero(outer | hole)
     seen, out = set(), []
-    for y, x in np.argwhere(on):
-        for side in (4, 0):  # an outer border starts right of a gap, a hole's border left of one
-            dy, dx = AROUND[side]
-            if on[y + dy, x + dx] or (y, x, side) in seen or (side == 0 and not _hole_start(on, y, x)) or (side == 4 and not _outer_start(on, y, x)):
-                continue
-            path = _follow(on, (int(y), int(x)), side, seen)
-            pts = np.array([(b - 1, a - 1) for a, b in path])
-            out.append(_simple(pts))
+    for y, x, left, right in zip(y.tolist(), x.tolist(), outer[y, x].tolist(), hole[y, x].tolist(), strict=True):
+        for side, starts in ((4, left), (0, right)):
+            if starts and (y, x, side) not in seen:
+                out.append(_simple(np.array([(b - 1, a - 1) for a, b in _follow(on, (y, x), side, seen)])))
     return out
 
 
-def _outer_start(on: np.ndarray, y: int, x: int) -> bool:
-    return not on[y, x - 1]
-
-
-def _hole_start(on: np.ndarray, y: int, x: int) -> bool:
-    return not on[y, x + 1]
-
-
 def _follow(on: np.ndarray, start: tuple[int, int], side: int, seen: set) -> list[tuple[int, int]]:
     """Walks around, keeping the empty side at hand; notes every (pixel, empty left or right neighbour) that it passes."""
     path, at, back, first = [], start, side, None
@@ -267,6 +287,14 @@ def least_rectangle(p: np.ndarray) -> tuple[float, float, float, float, float]:
 
 def fill(shape: tuple[int, int], p: np.ndarray) -> np.ndarray:
     """Mask of a polygon, its border included."""
+    out = np.zeros(shape, np.uint8)
+    (x0, y0), (x1, y1) = np.maximum(p.min(axis=0), 0).tolist(), np.minimum(p.max(axis=0) + 1, (shape[1], shape[0])).tolist()
+    if x1 > x0 and y1 > y0:
+        out[y0:y1, x0:x1] = _filled((y1 - y0, x1 - x0), p - (x0, y0))
+    return out
+
+
+def _filled(shape: tuple[int, int], p: np.ndarray) -> np.ndarray:
     y, x = np.mgrid[: shape[0], : shape[1]]
     inside, edge = np.zeros(shape, bool), np.zeros(shape, bool)
     for (x1, y1), (x2, y2) in zip(p.tolist(), np.roll(p, -1, axis=0).tolist(), strict=True):
@@ -274,34 +302,122 @@ def fill(shape: tuple[int, int], p: np.ndarray) -> np.ndarray:
             inside ^= ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
         n = max(abs(x2 - x1), abs(y2 - y1), 1)
         i = np.arange(n + 1)
-        ex, ey = np.rint(x1 + (x2 - x1) * i / n).astype(int), np.rint(y1 + (y2 - y1) * i / n).astype(int)
+        ex, ey = x1 + np.floor((x2 - x1) * i / n + 0.5).astype(int), y1 + np.floor((y2 - y1) * i / n + 0.5).astype(int)
         ok = (ex >= 0) & (ex < shape[1]) & (ey >= 0) & (ey < shape[0])
         edge[ey[ok], ex[ok]] = True
     return ((inside | edge) * 255).astype(np.uint8)
 
 
-def extract_line(img: np.ndarray, mask: np.ndarray, height: int, k: float) -> np.ndarray:
-    w = int(height * k)
-    return mask_and_crop(img, dilate(mask, max(1, w), max(1, int(w * k))))
+def box_of(p: np.ndarray) -> tuple[int, int, int, int]:
+    """x, y, w, h of the pixels' bounding box."""
+    (x, y), (x2, y2) = p.min(axis=0).tolist(), p.max(axis=0).tolist()
+    return x, y, x2 - x + 1, y2 - y + 1
+
 
+def extract_line(img: np.ndarray, p: np.ndarray, height: int, k: float) -> np.ndarray | None:
+    """What a page shows under a line's polygon, dilated by a rectangle int(height * k) wide and as much times k high; None if that is nothing."""
+    kw = int(height * k)
+    kh = int(kw * k)
+    if kw < 1 or kh < 1:
+        return None
+    x, y, w, h = box_of(p)  # the dilated line lies within this much of its box
+    x0, y0, x1, y1 = max(0, x - kw), max(0, y - kh), min(img.shape[1], x + w + kw), min(img.shape[0], y + h + kh)
+    if x1 <= x0 or y1 <= y0:
+        return None
+    return mask_and_crop(img[y0:y1, x0:x1], dilate(_filled((y1 - y0, x1 - x0), p - (x0, y0)), kw, kh))
 
-def extract_lines(img: np.ndarray, lines: list[np.ndarray], k: float = 1.7, tolerance: float = 3.0) -> list[tuple[np.ndarray, float]]:
-    """(line image, k) in reading order: k shrinks by tenths while a line comes out too high, and the next line starts with it."""
+
+def extract_lines(img: np.ndarray, lines: list[np.ndarray], k: float = 2.5, tolerance: float = 4.0) -> list[tuple[np.ndarray, float]]:
+    """(line image, k) in reading order: k shrinks by tenths, ten times at most, while a line comes out higher than tolerance times its box, and the
+    next line starts with it. A line that gives nothing is black, and leaves k as it was."""
     out = []
     for p in lines:
-        height, mask = int(p[:, 1].max() - p[:, 1].min() + 1), fill(img.shape[:2], p)
-        line = extract_line(img, mask, height, k)
+        height, now = box_of(p)[3], k
+        line = extract_line(img, p, height, now)
         for _ in range(10):
-            if line.shape[0] <= height * tolerance:
+            if line is None or line.shape[0] <= height * tolerance:
                 break
-            k = round(k - 0.1, 10)
-            if k <= 0.1:
+            now -= 0.1
+            if now <= 0.1:
                 break
-            line = extract_line(img, mask, height, k)
+            line = extract_line(img, p, height, now)
+        if line is None:
+            line = np.zeros((height, 2 * height, 1 if img.ndim == 2 else img.shape[2]), np.uint8)
+        else:
+            k = now
         out.append((line, k))
     return out
 
 
+def line_threshold(mask: np.ndarray, width: int = 20) -> float:
+    """How far apart lines are: of slices across the mask's box, as many as half its width in slices and as many pixels apart, the one with most contours, the
+    first of equals; the median of their centres, over their number, cut to a whole number. 0 without any."""
+    on = np.argwhere(mask > 0)
+    if not len(on):
+        return 0.0
+    (y, x), (y2, x2) = on.min(axis=0).tolist(), on.max(axis=0).tolist()
+    steps, best = (x2 - x + 1) // width // 2, []
+    for step in range(1, steps + 1):
+        start = x + steps * step
+        found = contours(mask[y : y2 + 1, start : start + width])
+        best = found if len(found) > len(best) else best
+    centres = [b[1] + b[3] // 2 for b in map(box_of, best)]
+    return float(np.median(centres) // len(centres)) if centres else 0.0
+
+
+def slice_centre(mask: np.ndarray, x: int, y: int) -> tuple[int, int, int]:
+    """(x, y, height) of the largest contour in a slice that lies at x, y: centre of its least rectangle, height of its box; of the slice if it is empty."""
+    found = contours(mask)
+    if not found:
+        return x + mask.shape[1] // 2, y + mask.shape[0] // 2, mask.shape[0]
+    c = max(found, key=contour_area)
+    cx, cy = least_rectangle(c)[:2]
+    return x + int(cx), y + int(cy), box_of(c)[3]
+
+
+def line_curve(shape: tuple[int, int], p: np.ndarray, width: int = 40) -> tuple[bool, np.ndarray, np.ndarray, float]:
+    """(curved, centres of five slices (n, 2: x, y), the same on one height, spread of the centres): a line is curved if its centres are
+    further apart than its slices are high on average."""
+    x, y, w, h = box_of(p)
+    mask = fill(shape, p)
+    starts = (x, x + w // 4 - width, x + w // 2, x + w // 2 + w // 4, x + w - width)
+    got = [slice_centre(mask[y : y + h, max(0, s) : max(0, s + width)], s, y) for s in starts]
+    centres, spread = np.array([g[:2] for g in got], float), float(max(g[1] for g in got) - min(g[1] for g in got))
+    if spread <= np.mean([g[2] for g in got]):
+        return False, centres, centres, 0.0
+    target = round(float(centres[:, 1].mean()))  # half to even
+    return True, centres, np.stack([centres[:, 0], np.full(5, target)], axis=1), spread
+
+
+def global_curve(curves: list[tuple[bool, np.ndarray, np.ndarray, float]]) -> int:
+    """Of the curved lines the one whose spread is nearest to the mean of all (straight ones count 0), the first of equals."""
+    spread = np.array([c[3] for c in curves])
+    away = np.where(spread > 0, np.abs(spread - spread.mean()), np.inf)
+    return int(away.argmin())
+
+
+def unbend(img: np.ndarray, centres: np.ndarray, level: np.ndarray, alpha: float = 0.5) -> np.ndarray:
+    """A page, or its mask, warped so that the centres come to lie on one level; the page's corners stay."""
+    h, w = img.shape[:2]
+    corners = np.array([(0, 0), (w, 0), (0, h), (w, h)], float)
+    return thin_plate_warp(img, np.concatenate([centres, corners]), np.concatenate([level, corners]), alpha)
+
+
+def line_contours(mask: np.ndarray) -> list[np.ndarray]:
+    """Contours of more than 10 pixels, from the bottom up, then by x."""
+    found = [c for c in contours(mask) if contour_area(c) > 10]
+    return sorted(found, key=lambda c: (-int(c[:, 1].min() + c[:, 1].max()), int(c[:, 0].min())))
+
+
+def page_angle(mask: np.ndarray, most: float = 5.0) -> float:
+    """Degrees by which the lines of a mask are turned: see layout.page_angle."""
+    angles = [least_rectangle(c)[4] for c in contours(mask) if contour_area(c) > mask.size * 0.001]
+    low, high = [a for a in angles if a != 0 and a < most], [a for a in angles if abs(a) != 90 and a > 90 - most]
+    if len(low) > len(high):
+        return float(np.mean(low))
+    return -(90 - float(np.mean(high))) if high else 0.0
+
+
 def thin_plate_warp(img: np.ndarray, src: np.ndarray, dst: np.ndarray, alpha: float = 0.5) -> np.ndarray:
     """Moves points src to dst (n, 2: x, y) by a regularised thin-plate spline, everything else smoothly with them."""
 

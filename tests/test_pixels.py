@@ -92,35 +92,103 @@ def test_binarise_and_rotate():
 
 
 def test_extract_lines_carry_k():
-    img = np.zeros((60, 60), np.uint8)
+    img = np.full((60, 60), 9, np.uint8)
     line = np.array([(10, 20), (50, 20), (50, 24), (10, 24)])
     got = P.extract_lines(img, [line, line], k=1.7, tolerance=2.0)
     assert got[0][1] < 1.7 and got[1][1] == got[0][1]
-    assert got[0][0].shape[0] <= 10
+    assert 0 < got[0][0].shape[0] <= 10
+
+
+def test_a_line_that_gives_nothing_leaves_k():
+    img = np.full((20, 20), 9, np.uint8)
+    thin, usual = np.array([(2, 2), (9, 2)]), np.array([(2, 6), (12, 6), (12, 9), (2, 9)])
+    got = P.extract_lines(img, [thin, usual], k=0.9, tolerance=9)  # int(1 * 0.9) is no kernel
+    assert got[0][0].shape == (1, 2, 1) and not got[0][0].any() and [k for _, k in got] == [0.9, 0.9]
+
+
+def test_extracted_line_equals_masking_the_whole_page():
+    rng = np.random.default_rng(3)
+    img = rng.integers(0, 3, (50, 70, 3), np.uint8)
+    p = np.array([(5, 20), (30, 16), (64, 22), (60, 28), (8, 27)])
+    for k in (0.5, 1.1, 1.6):
+        kw = int(P.box_of(p)[3] * k)
+        want = P.mask_and_crop(img, P.dilate(P.fill(img.shape[:2], p), kw, int(kw * k)))
+        assert np.array_equal(P.extract_line(img, p, P.box_of(p)[3], k), want)
+
+
+def test_dilate_by_definition():
+    rng = np.random.default_rng(4)
+    m = (rng.random((9, 11)) < 0.1).astype(np.uint8)
+    for kw, kh in ((1, 1), (2, 3), (4, 2), (5, 5)):
+        want = np.zeros_like(m)
+        for y in range(9):
+            for x in range(11):
+                rows, cols = range(y - kh // 2, y - kh // 2 + kh), range(x - kw // 2, x - kw // 2 + kw)
+                want[y, x] = max((m[a, b] for a in rows for b in cols if 0 <= a < 9 and 0 <= b < 11), default=0)
+        assert np.array_equal(P.dilate(m, kw, kh), want)
+
+
+def test_mask_and_crop_is_black_and_goes_by_what_is_left():
+    img = np.full((4, 5, 3), 200, np.uint8)
+    img[2, 1] = 0  # black on the page: its row goes though the mask has it
+    img[3, 4, 1] = 0  # a channel of the row's only pixel is black: the row goes too
+    m = np.zeros((4, 5), np.uint8)
+    m[0, 0] = m[1, 3] = m[2, 1] = m[3, 4] = 1
+    got = P.mask_and_crop(img, m)
+    assert got[:, :, 0].tolist() == [[200, 0], [0, 200]] and got.shape == (2, 2, 3)
 
 
-def test_mask_and_crop_takes_out_inner_gaps():
-    m = np.zeros((4, 5), np.uint8)
-    m[0, 0] = m[3, 4] = 1
-    assert P.mask_and_crop(np.zeros((4, 5), np.uint8), m).tolist() == [[0, 255], [255, 0]]
+def test_pad_line_is_black():
+    got = P.pad_line(np.full((4, 8), 9, np.uint8), 8, 8)
+    assert got[:2].max() == 0 and (got[2:6] == 9).all() and got[6:].max() == 0
+    assert P.pad_to_height(np.full((4, 4), 9, np.uint8), 12, 4, 255)[0].tolist() == [255] * 4 + [9] * 4 + [255] * 4
+
+
+def test_line_threshold_by_hand():
+    m = np.zeros((120, 400), np.uint8)
+    for y in (10, 50, 90):
+        m[y : y + 8, 20:380] = 255
+    # slices of three lines with centres 3 + 1, 43 + 1, 83 + 1 below the box's top: the median, 44, over 3
+    assert P.line_threshold(m) == 14.0
+    assert P.line_threshold(np.zeros((5, 5), np.uint8)) == 0.0
+
+
+def arc(bend, shape=(160, 520)):
+    """Three bars; the outer quarters of each lie `bend` lower than its middle."""
+    m = np.zeros(shape, np.uint8)
+    for base in (20, 60, 100):
+        for x in range(20, 500):
+            y = base + int(bend * ((x - 260) / 240) ** 2)
+            m[y : y + 8, x] = 255
+    return m
+
+
+def test_curved_lines_are_found_and_straightened():
+    flat, bent = arc(0), arc(24)
+    assert not any(P.line_curve(flat.shape, c)[0] for c in P.line_contours(flat))
+    curves = [P.line_curve(bent.shape, c) for c in P.line_contours(bent)]
+    assert all(c[0] for c in curves) and all(c[3] >= 18 for c in curves)
+    _, centres, level, _ = curves[P.global_curve(curves)]
+    again = [P.line_curve(bent.shape, c) for c in P.line_contours(P.unbend(bent, centres, level)) if P.box_of(c)[2] > 200]
+    assert len(again) == 3 and not any(c[0] for c in again)
+
+
+def test_global_curve_takes_the_first_nearest():
+    c = lambda y: (y > 0, None, None, float(y))
+    assert P.global_curve([c(0), c(4), c(8)]) == 1 and P.global_curve([c(9), c(3), c(0), c(5), c(3)]) == 1
+
+
+def test_page_angle_turns_back():
+    m = np.zeros((200, 400), np.uint8)
+    for y in (50, 100, 150):
+        m[y : y + 10, 60:340] = 255
+    tilted = P.rotate(m, -2.0)
+    assert abs(P.page_angle(tilted) - 2.0) < 0.2 and P.page_angle(m) == 0
+    assert abs(P.page_angle(P.rotate(tilted, P.page_angle(tilted)))) < 0.3
+    assert P.page_angle(P.rotate(m, 2.0)) < -1.5
 
 
 def test_thin_plate_identity():
     img = np.arange(100, dtype=np.uint8).reshape(10, 10)
     p = np.array([(0, 0), (9, 0), (0, 9), (9, 9), (4, 5)], float)
     assert (P.thin_plate_warp(img, p, p)[2:8, 2:8] == img[2:8, 2:8]).all()
-
-
-def test_pages_to_lines(spark):
-    from folioforge.plans import ocr
-
-    page = np.full((64, 256, 3), 255, np.uint8)
-    page[10:26, 20:200] = page[40:56, 30:220] = 0
-    rows = [("p1", 64, 256, 3, bytearray(page.tobytes())), ("p2", 64, 256, 3, bytearray(np.full((64, 256, 3), 255, np.uint8).tobytes()))]
-    pages = spark.createDataFrame(rows, "page_id string, height int, width int, channels int, data binary")
-    dark = lambda x: (0.5 - x.mean(axis=1)) * 100  # noqa: E731  stands for a model: dark is text
-    lines = ocr.run(pages, dark, ocr.Settings(patch=32))
-    got = lines.orderBy("place").collect()
-    assert [(r.page_id, r.y, r.place) for r in got] == [("p1", 10, 0), ("p1", 40, 1)]
-    status = {r.page_id: r.status for r in ocr.page_status(pages, lines).collect()}
-    assert status == {"p1": "success", "p2": "failed"}
