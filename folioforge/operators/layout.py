@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.functions import geometry as G
 from folioforge.operators.pixels import convex_hull
+from folioforge.schemas import CONTOUR_TYPE
 
 LINE_THRESHOLDS = {"line": 0.9, "layout": 0.8, "batch": 0.9, "cli": 0.85, "book": 0.8}
 
@@ -58,26 +63,57 @@ def text_bbox(lines: DataFrame, page: str = "page_id") -> DataFrame:
 
 
 def group_lines(lines: DataFrame, threshold: float = 20, page: str = "page_id") -> DataFrame:
-    """lines (page_id, ord, x, y) -> with grp and place, both from 0 in reading order.
+    """lines (page_id, ord, x, y, ...) -> with grp and place, both from 0 in reading order; all rows and columns stay.
 
     In the order of ord, a line opens a new group if its y is more than threshold off the mean y of the open group. Groups are read last
-    first, the lines of one by x, then ord. The running mean restarts with each group, so this is a fold, over the lines of one page.
+    first, the lines of one by x, then ord. The running mean restarts with each group, so this is a fold: after one shuffle, by page, it runs
+    over sorted rows and holds one page's at a time. Lines of equal ord go by y, then x; a null ord is first, a null page a page like any; a line
+    without y stays in the open group.
     """
-    item = F.struct("ord", F.col("y").cast("double").alias("y"))
-    per = lines.groupBy(page).agg(F.array_sort(F.collect_list(item)).alias("__l"))
-    start = F.struct(F.lit(-1).alias("g"), F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.expr("cast(array() as array<struct<o:int,g:int>>)").alias("out"))
-
-    def step(acc: Column, line: Column) -> Column:
-        new = (acc["n"] == 0) | (F.abs(acc["s"] / F.greatest(acc["n"], F.lit(1)) - line["y"]) > threshold)
-        g = acc["g"] + new.cast("int")
-        return F.struct(g.alias("g"), F.when(new, line["y"]).otherwise(acc["s"] + line["y"]).alias("s"), F.when(new, 1).otherwise(acc["n"] + 1).alias("n"),
-                        F.concat(acc["out"], F.array(F.struct(line["ord"].cast("int").alias("o"), g.alias("g")))).alias("out"))
 
-    fold = F.aggregate("__l", start, step)
-    got = per.select(F.col(page).alias("__p"), fold.alias("__f")).select("__p", F.col("__f.g").alias("__last"), F.explode("__f.out").alias("__i"))
-    out = lines.join(got, (F.col(page) == F.col("__p")) & (F.col("ord") == F.col("__i.o"))).withColumn("grp", F.col("__last") - F.col("__i.g"))
-    place = F.row_number().over(Window.partitionBy(page).orderBy("grp", "x", "ord")) - 1
-    return out.withColumn("place", place.cast("int")).drop("__p", "__last", "__i")
+    def fold(t: pa.Table) -> pa.Table:
+        x, y, groups, total, n = t.column("x").to_pylist(), t.column("y").to_pylist(), [], 0.0, 0
+        for v in y:
+            if not groups or (v is not None and n and abs(total / n - v) > threshold):
+                groups.append(groups[-1] + 1 if groups else 0)
+                total, n = 0.0, 0
+            else:
+                groups.append(groups[-1])
+            if v is not None:
+                total, n = total + v, n + 1
+        grp = groups[-1] - np.array(groups)
+        key = np.array([-np.inf if v is None else v for v in x], np.float64)
+        place = np.empty(len(grp), np.int32)
+        place[np.lexsort((np.arange(len(grp)), key, grp))] = np.arange(len(grp))
+        return t.append_column("grp", pa.array(grp.astype(np.int32))).append_column("place", pa.array(place))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            pages = b.column(names.index(page)).to_pylist()
+            start = 0
+            for i in range(b.num_rows):
+                last = pages[i - 1] if i else held[-1].column(names.index(page))[-1].as_py() if held else pages[i]
+                if pages[i] != last:
+                    if i > start:
+                        held.append(b.slice(start, i - start))
+                    yield from fold(pa.Table.from_batches(held)).combine_chunks().to_batches()
+                    held, start = [], i
+            if b.num_rows > start:
+                held.append(b.slice(start))
+        if held:
+            yield from fold(pa.Table.from_batches(held)).combine_chunks().to_batches()
+
+    rows = lines.drop("grp", "place")
+    names = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("grp", T.IntegerType()), T.StructField("place", T.IntegerType())])
+    return rows.repartition(page).sortWithinPartitions(page, "ord", "y", "x").mapInArrow(run, schema)
+
+
+@F.arrow_udf(CONTOUR_TYPE)
+def hull(contours: pa.Array) -> pa.Array:
+    rows = [None if c is None else [{"x": int(x), "y": int(y)} for x, y in convex_hull(np.array([(p["x"], p["y"]) for p in c]))] if c else [] for c in contours.to_pylist()]
+    return pa.array(rows, pa.list_(pa.struct([("x", pa.int32()), ("y", pa.int32())])))
 
 
 def merge_groups(grouped: DataFrame, page: str = "page_id") -> DataFrame:
@@ -90,7 +126,6 @@ def merge_groups(grouped: DataFrame, page: str = "page_id") -> DataFrame:
     w, h = F.col("x2") - F.col("x"), F.col("y2") - F.col("y")
     out = [page, "grp", "x", "y", w.alias("w"), h.alias("h"), "n_lines", (F.col("x") + F.floor(w / 2)).cast("int").alias("cx"), (F.col("y") + F.floor(h / 2)).cast("int").alias("cy")]
     if more:
-        hull = F.udf(lambda points: [tuple(map(int, p)) for p in convex_hull(np.array([(p.x, p.y) for p in points]))], "array<struct<x:int,y:int>>")
         out += ["contour", F.when(F.col("n_lines") > 1, hull("contour")).otherwise(F.col("contour")).alias("hull")]
     return g.select(*out)
 
@@ -126,21 +161,6 @@ def global_curve(lines: DataFrame, page: str = "page_id") -> DataFrame:
     return near.groupBy(page).agg(F.min_by("ord", F.struct("__d", "ord")).alias("ord"))
 
 
-def adaptive_k(lines: DataFrame, k: float = 1.7, tolerance: float = 3.0, page: str = "page_id") -> DataFrame:
-    """lines (page_id, ord, h, spread) -> k of each line: the height that k gives (h * k + spread) shrinks by tenths, ten times at most, until it
-    is within tolerance heights; each line starts with the k that the line before ended with."""
-    per = lines.groupBy(page).agg(F.array_sort(F.collect_list(F.struct("ord", F.col("h").cast("double").alias("h"), F.col("spread").cast("double").alias("spread")))).alias("__l"))
-    start = F.struct(F.lit(int(round(k * 10))).alias("k"), F.expr("cast(array() as array<struct<o:int,k:int>>)").alias("out"))
-
-    def step(acc: Column, line: Column) -> Column:
-        need = F.floor(((line["h"] * tolerance - line["spread"]) / F.greatest(line["h"], F.lit(1.0)) * 10) + 1e-9).cast("int")
-        new = F.when(acc["k"] <= need, acc["k"]).otherwise(F.greatest(need, acc["k"] - 10, F.lit(1)))
-        return F.struct(new.alias("k"), F.concat(acc["out"], F.array(F.struct(line["ord"].cast("int").alias("o"), new.alias("k")))).alias("out"))
-
-    rows = per.select(page, F.explode(F.aggregate("__l", start, step)["out"]).alias("i"))
-    return rows.select(page, F.col("i.o").alias("ord"), (F.col("i.k") / 10).alias("k"))
-
-
 def class_boxes(boxes: DataFrame, page: str = "page_id") -> DataFrame:
     """(page_id, class, x, y, w, h) -> layout JSON {class: {bbox: {x, y, w, h}}} a page; classes without a region are left out."""
     one = union_bbox(boxes, page, "class").withColumn("v", F.struct(F.struct("x", "y", "w", "h").alias("bbox")))

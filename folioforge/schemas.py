@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 POINT = "struct<x:int,y:int>"
 BBOX = "struct<x:int,y:int,w:int,h:int>"
 ROTATED_BBOX = f"struct<cx:double,cy:double,width:double,height:double,angle:double,points:array<{POINT}>>"
 CONTOUR = f"array<{POINT}>"
+CONTOUR_TYPE = T.ArrayType(T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType())]))
 
 LINE_DETECTION = f"image_name string, image_width int, image_height int, num_contours int, contours array<{CONTOUR}>, bboxes array<{BBOX}>"
 OCR_LINES = "guid string, text string, encoding string, ctc_conf float, norm_logp float, n_beams smallint, logits array<float>, lm_scores array<float>"
