@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.scalars import file_name, file_stem, natural_key
@@ -11,18 +11,28 @@ from folioforge.functions.text import clean_label, finish_wylie_label, first_lin
 IMAGES = "*.{jpg,jpeg,png,tif,tiff,JPG,JPEG,PNG,TIF,TIFF}"
 
 
+def page_of(path: Column) -> Column:
+    """A page's identity: its whole path, less the scheme. File names alone repeat from volume to volume."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/{0,2}(?=/)", "")
+
+
+def volume_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+)/[^/]*$", 1)
+
+
 def image_files(spark: SparkSession, root: str, pattern: str = IMAGES) -> DataFrame:
-    """Raw image files: path, image_name, volume (the folder), content."""
+    """Raw image files: path, page_id, image_name, volume (the folder), content."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
     p = F.col("path")
-    return df.select("path", file_stem(p).alias("image_name"), F.regexp_extract(p, r"([^/]+)/[^/]*$", 1).alias("volume"), "content")
+    return df.select("path", page_of(p).alias("page_id"), file_stem(p).alias("image_name"), volume_of(p).alias("volume"), "content")
 
 
-def images(spark: SparkSession, root: str, drop_invalid: bool = True) -> DataFrame:
-    """Decoded pages (BGR): page_id, height, width, channels, data; unreadable files are dropped, or kept with status failed."""
-    df = spark.read.format("image").option("dropInvalid", drop_invalid).option("recursiveFileLookup", "true").load(root).select("image.*")
-    bad = F.col("height") <= 0
-    return df.select(file_stem(F.col("origin")).alias("page_id"), "height", "width", F.col("nChannels").alias("channels"), "data", F.when(bad, "failed").otherwise("success").alias("status"), F.when(bad, "unreadable image").alias("error"))
+def images(spark: SparkSession, root: str, drop_invalid: bool = True, pattern: str = IMAGES) -> DataFrame:
+    """Decoded pages (BGR): page_id (unique: the path), image_name, volume, height, width, channels, data; unreadable files are dropped, or kept
+    with status failed."""
+    df = spark.read.format("image").option("dropInvalid", drop_invalid).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("image.*")
+    bad, p = F.col("height") <= 0, F.col("origin")
+    return df.select(page_of(p).alias("page_id"), file_stem(p).alias("image_name"), volume_of(p).alias("volume"), "height", "width", F.col("nChannels").alias("channels"), "data", F.when(bad, "failed").otherwise("success").alias("status"), F.when(bad, "unreadable image").alias("error"))
 
 
 def in_natural_order(df: DataFrame, column: str = "path") -> DataFrame:
