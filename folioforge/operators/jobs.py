@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The folders of a job.
-SUBDIRS = ("config", "detection", "lines", "dewarping", "line_images", "recognition", "results", "metrics", "logs")
+SUBDIRS = ("detection", "dewarping", "lines", "results")
 
 
 def job_summary(pages: DataFrame, *keys: str) -> DataFrame:
