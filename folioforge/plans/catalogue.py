@@ -1,20 +1,24 @@
 """Registered queries of the document operators, and the SQL that says what each must return.
 
-The driver's tables hold no page images, so boxes come from lineitem (an order is a page), logits from embeddings, reading order and
-text from conversations and documents, audit records from events.
+The driver's tables hold no page images, so pages are drawn from parts and suppliers; boxes come from lineitem (an order is a page), logits from
+embeddings, reading order and text from conversations and documents, audit records from events. The SQL is written out by hand: it holds
+none of the library's tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import geometry as G
 from folioforge.functions import scalars as S
 from folioforge.functions import text as T
-from folioforge.operators import decode, evaluate, jobs, layout
+from folioforge.operators import decode, evaluate, jobs, layout, pixels
+from folioforge.plans import ocr
 from folioforge.sinks import export
 from folioforge.sources import files
 
@@ -53,20 +57,26 @@ def contour_of_box() -> F.Column:
     return F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, y), (x2, y), (x2, y2), (x, y2))])
 
 
-@query("""SELECT doc_id, regexp_replace(translate(text, chr(9) || chr(160) || chr(16) || chr(8205) || chr(3852), chr(3851)), '[()]', '', 'g') AS label FROM (
- SELECT doc_id, replace(replace(replace(replace(text, chr(9), ''), chr(160), ''), chr(16), ''), chr(8205), '') AS text FROM documents)""")
-def text_clean(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.clean_label(F.col("text")).alias("label"))
+#: What labels hold and these documents don't: appended to them, as characters and as code points.
+MARKS = "a\uf8f0b\uf038c\u00a0d\u0010e\tf\u200dg\uf037h\u0f0ci\u0f0bj"
+MARK_CODES = "'a' || chr(63728) || 'b' || chr(61496) || 'c' || chr(160) || 'd' || chr(16) || 'e' || chr(9) || 'f' || chr(8205) || 'g' || chr(61495) || 'h' || chr(3852) || 'i' || chr(3851) || 'j'"
 
 
-_w = "text"
-for _a, _b in T.WYLIE_REPLACEMENTS:
-    _w = "replace({}, '{}', '{}')".format(_w, _a.replace("'", "''"), _b.replace("'", "''"))
+@query(f"""WITH t AS (SELECT doc_id, text || {MARK_CODES} AS t FROM documents),
+d AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(t, chr(63728), ' '), chr(61496), ''), chr(160), ''), chr(16), ''), chr(9), ''), chr(8205), '') AS t FROM t)
+SELECT doc_id, replace(replace(replace(replace(t, chr(61495), ''), chr(3852), chr(3851)), '(', ''), ')', '') AS label FROM d""")
+def text_clean(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.clean_label(F.concat("text", F.lit(MARKS))).alias("label"))
 
 
-@query(f"SELECT doc_id, {_w} AS label FROM documents")
+@query(r"""WITH a AS (SELECT doc_id, text || '\u0f85k\u0f09k\u0f13k\u0f12k\u0fd3k\u0fd4k\u0f00k\u0f7fk' || chr(65312) || 'k' || chr(2404) || 'k*k  k   k_[k]' AS t FROM documents),
+b AS (SELECT doc_id, replace(replace(replace(replace(t, '\u0f85', '&'), '\u0f09', chr(228)), '\u0f13', chr(246)), '\u0f12', chr(252)) AS t FROM a),
+c AS (SELECT doc_id, replace(replace(replace(replace(t, '\u0fd3', '@'), '\u0fd4', '#'), '\u0f00', 'oM'), '\u0f7f', '}') AS t FROM b),
+d AS (SELECT doc_id, replace(replace(replace(t, chr(65312), '@'), chr(2404), '|'), '*', ' ') AS t FROM c)
+SELECT doc_id, replace(replace(replace(replace(replace(t, '  ', ' '), '_', ''), '[', ''), ']', ''), ' ', chr(167)) AS label FROM d""")
 def wylie_post(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.finish_wylie_label(F.col("text")).alias("label"))
+    marks = r"\u0f85k\u0f09k\u0f13k\u0f12k\u0fd3k\u0fd4k\u0f00k\u0f7fk" + "\uff20k\u0964k*k  k   k_[k]"
+    return table(spark, d, "documents").select("doc_id", T.finish_wylie_label(F.concat("text", F.lit(marks))).alias("label"))
 
 
 @query(f"SELECT doc_id, array_to_string(list_transform(list_filter(string_split(lower(text), ''), lambda c: c <> ''), lambda c: CASE WHEN strpos('{''.join(CHARSET)}', c) > 0 THEN strpos('{''.join(CHARSET)}', c) ELSE -1 END::INTEGER), ',') AS ids FROM documents")
@@ -82,9 +92,10 @@ def label_decode(spark, d):
 
 @query("SELECT symbol, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, unnest(string_split(text, '')) AS symbol FROM documents) WHERE symbol <> '' GROUP BY symbol")
 def charset_stats(spark, d):
-    # counted within each document first, so that the shuffle carries its characters once
-    one = table(spark, d, "documents").select("doc_id", F.explode(T.characters(F.col("text"))).alias("symbol")).groupBy("doc_id", "symbol").agg(F.count(F.lit(1)).alias("k"))
-    return one.groupBy("symbol").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    # counted within each row, so that a document sends a row for each of its few symbols into one aggregation
+    one = table(spark, d, "documents").select(F.col("text").alias("t"), F.explode(F.array_distinct(T.characters(F.col("text")))).alias("symbol"))
+    counted = one.select("symbol", ((F.length("t") - F.length(F.replace("t", "symbol"))) / F.length("symbol")).cast("long").alias("k"))
+    return counted.groupBy("symbol").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_docs"))
 
 
 @query("SELECT doc_id, (i - 1)::INTEGER AS ord, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)")
@@ -143,15 +154,14 @@ def page_sizes(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), cw.alias("cw"), ch.alias("ch"), bw.alias("bw"), bh.alias("bh"))
 
 
-@query("SELECT vec_id, (i - 1)::INTEGER AS i, embedding[i]::DOUBLE AS v FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)")
+@query("SELECT vec_id, (i - 1)::INTEGER AS i, (embedding[i] > 0)::INTEGER * 255 AS v FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)")
 def stitch_tiles(spark, d):
-    """8 x 8 pages cut into 4 x 4 tiles and put together again: an identity."""
-    e = table(spark, d, "embeddings").select("vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v"))
-    y, x = F.floor(F.col("i") / 8).cast("int"), (F.col("i") % 8).cast("int")
-    tiles = e.groupBy("vec_id", F.floor(y / 4).alias("ty"), F.floor(x / 4).alias("tx")).agg(F.collect_list(F.struct((y % 4).alias("y"), (x % 4).alias("x"), "v")).alias("cells"))
-    back = tiles.select("vec_id", F.explode("cells").alias("c"), ((F.col("ty") * 4 + F.col("c.y")) * 8 + F.col("tx") * 4 + F.col("c.x")).alias("i"))
-    pages = back.groupBy("vec_id").agg(F.array_sort(F.collect_list(F.struct("i", "c.v"))).alias("p"))
-    return pages.select("vec_id", F.posexplode("p.v").alias("i", "v"))
+    """Masks of 8 x 8 pixels cut into 3 x 3 tiles, padded, and put together again: an identity but for the scale."""
+    data = F.unhex(F.array_join(F.transform("embedding", lambda x: F.when(x > 0, "01").otherwise("00")), ""))
+    pages = table(spark, d, "embeddings").select(F.col("vec_id").alias("page_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels"), data.alias("data"))
+    back = pixels.stitched(pixels.tiles(pages, 3))
+    pixel = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.substring(F.hex("mask"), i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+    return back.select(F.col("page_id").alias("vec_id"), F.posexplode(pixel).alias("i", "v"))
 
 
 @query("""SELECT vec_id, (i - 1)::INTEGER AS symbol, row_number() OVER (PARTITION BY vec_id ORDER BY embedding[i] DESC, i)::INTEGER AS rank,
@@ -213,12 +223,68 @@ def line_threshold(spark, d):
     return layout.line_threshold(s)
 
 
-@query(f"""WITH RECURSIVE {BOXES}, n AS (SELECT page_id, ord, h, (y % 50) AS spread, floor((h * 3.0::DOUBLE - (y % 50)) / greatest(h, 1) * 10 + 1e-9)::INTEGER AS need FROM b),
-f AS (SELECT page_id, ord, CASE WHEN 17 <= need THEN 17 ELSE greatest(need, 7, 1) END AS k FROM n WHERE ord = 0
- UNION ALL SELECT n.page_id, n.ord, CASE WHEN f.k <= n.need THEN f.k ELSE greatest(n.need, f.k - 10, 1) END FROM f JOIN n ON n.page_id = f.page_id AND n.ord = f.ord + 1)
-SELECT page_id, ord, k / 10 AS k FROM f""")
-def adaptive_k(spark, d):
-    return layout.adaptive_k(boxes(spark, d).withColumn("spread", F.col("y") % 50))
+PAGE_W, PAGE_H, K, TOLERANCE = 300, 130, 2.5, 1.5
+
+
+@query(f"""WITH RECURSIVE l AS (SELECT p_partkey AS page_id, i::INTEGER AS ord, (10 + p_size % 20)::INTEGER AS x, (15 + 35 * i + (p_partkey + i) % 5)::INTEGER AS y,
+ (60 + (p_size * 7 + i * 31) % 200)::INTEGER AS w, (4 + p_partkey * (i + 3) % 12)::INTEGER AS h FROM part, generate_series(0, 2) t(i)),
+f AS (SELECT page_id, 0 AS ord, 0 AS tries, {K}::DOUBLE AS k, NULL::INTEGER AS done, NULL::INTEGER AS width, NULL::INTEGER AS height FROM l WHERE ord = 0
+ UNION ALL SELECT page_id, CASE WHEN more THEN ord ELSE ord + 1 END, CASE WHEN more THEN tries + 1 ELSE 0 END, CASE WHEN more THEN k - 0.1::DOUBLE ELSE k END,
+ CASE WHEN more THEN NULL ELSE ord END, CASE WHEN more THEN NULL ELSE width END, CASE WHEN more THEN NULL ELSE height END FROM (
+  SELECT *, height > h * {TOLERANCE} AND tries < 10 AND k - 0.1::DOUBLE > 0.1 AS more FROM (
+   SELECT *, (least({PAGE_W}, x + w + kw // 2) - greatest(0, x - (kw - 1 - kw // 2)))::INTEGER AS width, (least({PAGE_H}, y + h + kh // 2) - greatest(0, y - (kh - 1 - kh // 2)))::INTEGER AS height FROM (
+    SELECT f.page_id, f.ord, f.tries, f.k, l.x, l.y, l.w, l.h, trunc(l.h * f.k)::INTEGER AS kw, trunc(trunc(l.h * f.k) * f.k)::INTEGER AS kh FROM f JOIN l ON l.page_id = f.page_id AND l.ord = f.ord))))
+SELECT page_id, done AS ord, round(k, 6) AS k, width, height, width * height * 255 AS ink FROM f WHERE done IS NOT NULL""")
+def line_images(spark, d):
+    """White pages with three lines each: how large their images are, and what k each line leaves to the next."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    box = [F.struct((10 + size % 20).alias("x"), (15 + 35 * i + (key + i) % 5).cast("int").alias("y"), (60 + (size * 7 + i * 31) % 200).alias("w"), (4 + key * (i + 3) % 12).cast("int").alias("h")) for i in range(3)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page = np.full((PAGE_H, PAGE_W), 255, np.uint8)
+        for b in batches:
+            rows = []
+            for page_id, boxes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                corners = [np.array([(x, y), (x + w - 1, y), (x + w - 1, y + h - 1), (x, y + h - 1)]) for x, y, w, h in (r.values() for r in boxes)]
+                for i, (image, k) in enumerate(pixels.extract_lines(page, corners, K, TOLERANCE)):
+                    rows.append((page_id, i, round(k, 6), image.shape[1], image.shape[0], int(image.sum())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, (pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["page_id", "ord", "k", "width", "height", "ink"])
+
+    return table(spark, d, "part").select(key.alias("page_id"), F.array(*box).alias("boxes")).mapInArrow(run, "page_id long, ord int, k double, width int, height int, ink int")
+
+
+def drawn_pages(spark, d) -> DataFrame:
+    """A page of 256 x 192 pixels for each supplier: five rows, each of one black bar or two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data = []
+            for s in b.column(0).to_pylist():
+                page = np.full((192, 256, 3), 255, np.uint8)
+                for r in range(5):
+                    y = 8 + 32 * r + s * r % 4
+                    page[y : y + 12, 8 + s % 20 : 68 + s % 20 + s % 40] = 0
+                    if (s + r) % 3:
+                        page[y : y + 12, 150 : 200 + (s + r) % 50] = 0
+                data.append(page.tobytes())
+            n = len(data)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([v] * n, pa.int32()) for v in (192, 256, 3)], pa.array(data, pa.binary())], ["page_id", "height", "width", "channels", "data"])
+
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id")).mapInArrow(run, "page_id long, height int, width int, channels int, data binary")
+
+
+def dark(tiles: np.ndarray) -> np.ndarray:
+    """Stands for a line model: dark is text."""
+    return (0.5 - tiles.mean(axis=1)) * 100
+
+
+@query("""WITH r AS (SELECT s_suppkey AS s, r FROM supplier, generate_series(0, 4) t(r)),
+b AS (SELECT s, r, 8 + s % 20 AS x, 8 + 32 * r + s * r % 4 AS y, CASE WHEN (s + r) % 3 <> 0 THEN 200 + (s + r) % 50 ELSE 68 + s % 20 + s % 40 END AS x2, CASE WHEN (s + r) % 3 <> 0 THEN 2 ELSE 1 END AS n FROM r)
+SELECT s AS page_id, r::INTEGER AS ord, sha256(s || '/' || r) AS guid, x::INTEGER AS x, y::INTEGER AS y, (x2 - x)::INTEGER AS w, 12 AS h, (x + (x2 - x) // 2)::INTEGER AS cx, (y + 6)::INTEGER AS cy, n::INTEGER AS n_chunks FROM b""")
+def page_lines(spark, d):
+    """Drawn pages through all stages up to ordered, merged lines."""
+    read = ocr.run(drawn_pages(spark, d), ocr.Detector(dark, patch=64), None, ocr.Settings(calculate_threshold=False, group_threshold=20))
+    return ocr.lines(read).select("page_id", "ord", "guid", "x", "y", "w", "h", "cx", "cy", "n_chunks")
 
 
 CURVES = f"""{BOXES}, c AS (SELECT page_id, ord // 2 AS ord, max(y % 50) - min(y % 50) AS spread, avg(h) AS height, avg(y % 50) AS mean FROM b GROUP BY ALL),
@@ -266,29 +332,6 @@ def line_data(spark, d):
     return boxes(spark, d).select("page_id", "ord", c["x"].alias("cx"), c["y"].alias("cy"), G.bbox_string(F.struct("x", "y", "w", "h")).alias("corners"))
 
 
-PAIRS = """p AS (SELECT a.doc_id, a.lang, substr(regexp_replace(a.text, '[^ -~]', '', 'g'), 1, 200) AS prediction, substr(regexp_replace(b.text, '[^ -~]', '', 'g'), 1, 200) AS label
- FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
-s AS (SELECT doc_id, lang, CASE WHEN length(label) > 0 THEN levenshtein(prediction, label) / length(label) ELSE (length(prediction) > 0)::INTEGER END AS cer FROM p)"""
-
-
-def pairs(spark, d) -> DataFrame:
-    head = F.substring(F.regexp_replace("text", "[^ -~]", ""), 1, 200)
-    docs = table(spark, d, "documents")
-    a = docs.select("doc_id", "lang", head.alias("prediction"))
-    return evaluate.score_pairs(a.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), head.alias("label")), "doc_id"))
-
-
-@query(f"WITH {PAIRS} SELECT doc_id, round(cer, 6) AS cer FROM s")
-def cer_pairs(spark, d):
-    return pairs(spark, d).select("doc_id", F.round("cer", 6).alias("cer"))
-
-
-@query(f"WITH {PAIRS} SELECT lang, count(*) AS pairs, round(avg(cer), 6) AS mean_cer, round(median(cer), 6) AS median_cer, round(max(cer), 6) AS max_cer FROM s GROUP BY lang")
-def cer_summary(spark, d):
-    s = evaluate.summary(pairs(spark, d), "lang")
-    return s.select("lang", "pairs", *[F.round(c, 6).alias(c) for c in ("mean_cer", "median_cer", "max_cer")])
-
-
 def whole_pairs(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
     a = docs.select("doc_id", "lang", F.col("text").alias("prediction"))
@@ -297,12 +340,13 @@ def whole_pairs(spark, d) -> DataFrame:
 
 
 @query()
-def cer_pairs_whole(spark, d):
+def cer_pairs(spark, d):
+    """Whole texts in code points. No SQL: DuckDB's distance counts bytes, and takes too long on whole texts."""
     return whole_pairs(spark, d).select("doc_id", F.round("cer", 6).alias("cer"))
 
 
 @query()
-def cer_summary_whole(spark, d):
+def cer_summary(spark, d):
     s = evaluate.summary(whole_pairs(spark, d), "lang")
     return s.select("lang", "pairs", *[F.round(c, 6).alias(c) for c in ("mean_cer", "median_cer", "max_cer")])
 
@@ -323,16 +367,16 @@ t AS (SELECT *, x || ',' || y || ' ' || (x + w) || ',' || y || ' ' || (x + w) ||
 g AS (SELECT page_id, min(x) AS x, min(y) AS y, max(x + w) AS x2, max(y + h) AS y2, list(pts ORDER BY ord) AS pts, list(text ORDER BY ord) AS texts FROM t GROUP BY page_id)"""
 
 
-@query(rf"""WITH {TURNS} SELECT page_id, '{{"image":"' || page_id || '","textbox":{{"x":' || x || ',"y":' || y || ',"w":' || (x2 - x) || ',"h":' || (y2 - y) || '}},"lines":["' ||
+@query(rf"""WITH {TURNS} SELECT page_id, '{{"image":"' || page_id || '","textbox":"' || x || ',' || y || ' ' || x2 || ',' || y || ' ' || x2 || ',' || y2 || ' ' || x || ',' || y2 || '","lines":["' ||
  array_to_string(list_transform(pts, lambda p: p || ' '), '","') || '"],"text":["' || array_to_string(list_transform(texts, lambda v: replace(replace(v, chr(92), chr(92) || chr(92)), '"', chr(92) || '"')), '","') || '"]}}' AS json FROM g""")
 def export_json(spark, d):
     return export.page_json(text_boxes(spark, d))
 
 
-@query(rf"""WITH {TURNS}, l AS (SELECT *, list_transform(generate_series(1, len(pts)), lambda i: '<TextLine id="line_' || (i - 1) || '"><Coords points="' || pts[i] || '"/><TextEquiv><Unicode>' ||
+@query(rf"""WITH {TURNS}, l AS (SELECT *, list_transform(generate_series(1, len(pts)), lambda i: '<TextLine id="line_9874_' || (i - 1) || '" custom="readingOrder {{index: ' || (i - 1) || ';}}"><Coords points="' || pts[i] || '"/><TextEquiv><Unicode>' ||
  replace(replace(replace(replace(texts[i], '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</Unicode></TextEquiv></TextLine>') AS ls FROM g)
-SELECT page_id, '<?xml version="1.0" encoding="UTF-8"?><PcGts xmlns="{export.PAGE_NS}"><Metadata><Creator>folioforge</Creator><Created>2024-01-01T00:00:00</Created></Metadata><Page imageFilename="' || page_id ||
- '" imageWidth="1500" imageHeight="900"><ReadingOrder><OrderedGroup id="order"><RegionRefIndexed index="0" regionRef="region"/></OrderedGroup></ReadingOrder><TextRegion id="region"><Coords points="' ||
+SELECT page_id, '<?xml version="1.0" encoding="UTF-8"?><PcGts xmlns="http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15 http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15/pagecontent.xsd"><Metadata><Creator>Transkribus</Creator><Created>2024-01-01T00:00:00</Created></Metadata><Page imageFilename="' || page_id ||
+ '" imageWidth="1500" imageHeight="900"><ReadingOrder><OrderedGroup id="1234_0" caption="Regions reading order"><RegionRefIndexed index="0" regionRef="region_main"/></OrderedGroup></ReadingOrder><TextRegion id="region_main" custom="readingOrder {{index:0;}}"><Coords points="' ||
  x || ',' || y || ' ' || x2 || ',' || y || ' ' || x2 || ',' || y2 || ' ' || x || ',' || y2 || '"/>' || array_to_string(ls, '') || '</TextRegion></Page></PcGts>' AS xml FROM l""")
 def export_pagexml(spark, d):
     return export.page_xml(text_boxes(spark, d), "2024-01-01T00:00:00")
@@ -398,7 +442,7 @@ def file_stem(spark, d):
     return table(spark, d, "pages").select("page_id", S.file_name(F.col("url")).alias("name"), S.file_stem(F.col("url")).alias("stem"))
 
 
-@query(r"""SELECT s_suppkey, s_name, array_to_string(list_transform(regexp_extract_all(s_name, '(\d+|\D+)'), lambda x: CASE WHEN regexp_matches(x, '^\d') THEN lpad(x, 20, '0') ELSE x END), '|') AS key FROM supplier""")
+@query(r"""SELECT s_suppkey, s_name, array_to_string(list_transform(regexp_extract_all(s_name, '(\d+|\D+)'), lambda x: CASE WHEN regexp_matches(x, '^\d') THEN lpad(length(CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END)::VARCHAR, 10, '0') || CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END ELSE x END), '|') AS key FROM supplier""")
 def natural_sort(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_name", F.array_join(S.natural_key(F.col("s_name")), "|").alias("key"))
     return s.orderBy("key", "s_suppkey")

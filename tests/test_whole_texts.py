@@ -28,10 +28,10 @@ def test_cer_of_whole_texts(spark, tmp_path):
     texts = [head + "tail one", head + "another end", "été à Noël", "ete a Noel", "", "x", None, "y"]
     rows = [(i, t, "fr" if i % 2 else "en") for i, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.cer for r in catalogue.QUERIES["cer_pairs_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.cer for r in catalogue.QUERIES["cer_pairs"](spark, str(tmp_path)).collect()}
     want = {}
     for i, (a, b) in enumerate(zip(texts, texts[1:])):
         want[i] = None if a is None else round(brute_distance(a, b) / len(b), 6) if b else float(a != "")  # no label counts as an empty one
     assert got == want and got[0] > 0 and got[2] == 0.4
-    summary = {r.lang: r for r in catalogue.QUERIES["cer_summary_whole"](spark, str(tmp_path)).collect()}
+    summary = {r.lang: r for r in catalogue.QUERIES["cer_summary"](spark, str(tmp_path)).collect()}
     assert summary["en"].pairs == 4 and summary["en"].max_cer == max(v for i, v in want.items() if i % 2 == 0 and v is not None)
