@@ -144,8 +144,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
     some = v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     q = q.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     q = scratch.write(q.mapInArrow(_floors([r.vec_id for r in some], [r.embedding for r in some], k, scale), f"vec_id long, embedding {kind}, floor long"), "queries")
-    size = min(PART[1], max(PART[0], v.count() // (2 * spark.sparkContext.defaultParallelism) + 1))
-    parts = -(-v.count() // size) or 1
+    n = v.count()
+    parts = -(-n // min(PART[1], max(PART[0], n // (2 * spark.sparkContext.defaultParallelism) + 1))) or 1
     names = F.array(*map(F.lit, even_keys(spark, parts)))
     # copies of a row go to one part, so that a vec_id is dealt out by itself, not by its number of rows
     mine = F.element_at(names, F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(parts)).cast("int") + 1)
