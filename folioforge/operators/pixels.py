@@ -465,21 +465,3 @@ def stitched(masks: DataFrame) -> DataFrame:
         return pd.DataFrame([(r.page_id, m.shape[0], m.shape[1], (m * 255).tobytes())], columns=["page_id", "height", "width", "mask"])
 
     return masks.groupBy("page_id").applyInPandas(one, f"page_id {masks.schema['page_id'].dataType.simpleString()}, height int, width int, mask binary")
-
-
-def regions(masks: DataFrame) -> DataFrame:
-    """Page masks -> a row a contour, ordinal from the bottom up, then by x: page_id, ord, contour, bbox, area, angle."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for r in b.itertuples():
-                found = [simplify(c) for c in contours(np.frombuffer(r.mask, np.uint8).reshape(r.height, r.width))]
-                found.sort(key=lambda c: (-int(c[:, 1].min() + c[:, 1].max()), int(c[:, 0].min())))
-                for i, c in enumerate(found):
-                    x, y = c.min(axis=0).tolist()
-                    w, h = (c.max(axis=0) - c.min(axis=0) + 1).tolist()
-                    rows.append((r.page_id, i, [{"x": int(a), "y": int(q)} for a, q in c], x, y, w, h, contour_area(c), least_rectangle(c)[4], r.width, r.height))
-            yield pd.DataFrame(rows, columns=["page_id", "ord", "contour", "x", "y", "w", "h", "area", "angle", "image_width", "image_height"])
-
-    return masks.select("page_id", "height", "width", "mask").mapInPandas(run, f"page_id {masks.schema['page_id'].dataType.simpleString()}, ord int, contour array<struct<x:int,y:int>>, x int, y int, w int, h int, area double, angle double, image_width int, image_height int")

@@ -1,13 +1,11 @@
-"""Model inference under Arrow: ONNX sessions, one a Python worker, batched over rows. onnxruntime is optional."""
+"""Models: ONNX sessions, one a Python worker, and what their logits mean. onnxruntime is optional."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
 
 
 @cache
@@ -32,34 +30,3 @@ def softmax_mask(logits: np.ndarray, channel: int, threshold: float = 0.8) -> np
     """(n, classes, h, w) -> mask of one class."""
     e = np.exp(logits - logits.max(axis=1, keepdims=True))
     return ((e / e.sum(axis=1, keepdims=True))[:, channel] > threshold).astype(np.uint8)
-
-
-def detect(tiles: DataFrame, model: Callable[[np.ndarray], np.ndarray], mask: Callable[[np.ndarray], np.ndarray] = sigmoid_mask, batch: int = 8) -> DataFrame:
-    """Tiles -> the same rows with data a 0/1 mask. model: (n, channels, h, w) float32 in 0..1 -> logits (n, [1,] h, w) or (n, classes, h, w)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for s in range(0, len(b), batch):
-                part = b.iloc[s : s + batch].copy()
-                x = np.stack([np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels).transpose(2, 0, 1) for r in part.itertuples()]).astype(np.float32) / 255
-                m = mask(model(x)).reshape(len(part), *x.shape[2:])
-                part["data"], part["channels"] = [t.tobytes() for t in m], 1
-                yield part
-
-    return tiles.mapInPandas(run, tiles.schema)
-
-
-def recognise(lines: DataFrame, model: Callable[[np.ndarray], np.ndarray], width: int, height: int, key: str = "guid", batch: int = 16) -> DataFrame:
-    """(key, height, width, channels, data) -> (key, logits array<float>, time int, symbols int). Empty line images are left out.
-    model: (n, 1, height, width) in -1..1 -> (n, time, symbols)."""
-    from folioforge.operators.pixels import array_of, prepare_line
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b[(b.height > 0) & (b.width > 0)]
-            for s in range(0, len(b), batch):
-                part = b.iloc[s : s + batch]
-                y = model(np.stack([prepare_line(array_of(r), width, height) for r in part.itertuples()]))
-                yield pd.DataFrame({key: part[key], "logits": [t.astype(np.float32).ravel() for t in y], "time": y.shape[1], "symbols": y.shape[2]})
-
-    return lines.select(key, "height", "width", "channels", "data").mapInPandas(run, f"{key} {lines.schema[key].dataType.simpleString()}, logits array<float>, time int, symbols int")

@@ -297,6 +297,28 @@ def lines(read: DataFrame) -> DataFrame:
     return one.select("page_id", "page_width", "page_height", "applied_angle", line_guid(F.col("page_id"), F.col("l.ord")).alias("guid"), "l.*")
 
 
+def read_lines(images: DataFrame, recogniser: Recogniser, s: Settings = Settings(), key: str = "line_id", black_and_white: bool = False) -> DataFrame:
+    """Line images (key, height, width, channels, data) -> (key, text, ctc_conf, norm_logp, n_beams). Those that are null or empty, or whose bytes don't fit
+    their size, have null text. black_and_white: they are made so first, as when models are compared."""
+    kind = images.schema[key].dataType.simpleString()
+    types = [("text", TEXT), ("ctc_conf", FLOAT), ("norm_logp", FLOAT), ("n_beams", pa.int16())]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [image_of(b, i) for i in range(b.num_rows)]
+            some = [P.binarise(x) if black_and_white else x for x in found if x is not None]
+            read = iter(list(recogniser.read(some, s)))
+            rows = []
+            for x in found:
+                text, scores = next(read) if x is not None else (None, [])
+                norm = scores[0] / max(len(text), 1) if scores else None
+                rows.append((text, float(np.exp(norm)) if scores else None, norm, len(scores)))
+            cols = zip(*rows) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, (_, t) in zip(cols, types, strict=True)]], [key, *[n for n, _ in types]])
+
+    return images.select(key, "height", "width", "channels", "data").mapInArrow(work, f"{key} {kind}, text string, ctc_conf double, norm_logp double, n_beams smallint")
+
+
 def page_metrics(read: DataFrame) -> DataFrame:
     """A row a page, as schemas.PAGE_METRICS."""
     n = F.size("lines").cast("long")

@@ -10,7 +10,7 @@ from test_sources import png
 
 from folioforge import cli
 from folioforge.operators import pixels as P
-from folioforge.plans import job, ocr
+from folioforge.plans import evaluation, job, ocr
 from folioforge.plans.catalogue import dark
 from folioforge.sinks import export
 
@@ -209,3 +209,17 @@ def test_command_line(spark, tmp_path, capsys):
             cli.main(["lines", "-i", str(tmp_path / "in"), "-c", str(tmp_path)], spark)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_models_are_compared(spark, tmp_path):
+    """Three line images in natural order against their labels; one can't be read."""
+    line = lambda w: page((0, 0, w, 20), shape=(20, 200))
+    read = {w: next(READ.read([P.binarise(line(w))], ocr.Settings()))[0] for w in (60, 150)}
+    rows = [("d", "p10", line(150)), ("d", "p9", line(60)), ("d", "p11", None), ("e", "x", line(60))]
+    images = spark.createDataFrame([(d, n, *(a.shape if a is not None else (None,) * 3), bytearray(a.tobytes()) if a is not None else None) for d, n, a in rows], "distribution string, name string, height int, width int, channels int, data binary")
+    labels = spark.createDataFrame([("d", "l1", read[60]), ("d", "l2", read[150] + "z"), ("d", "l3", "ab")], "distribution string, name string, label string")
+    got = evaluation.evaluate_model(images, labels, READ, "m", ocr.Settings())
+    assert {(r.image_name, r.label_name): round(r.cer, 4) for r in got.collect()} == {("p9", "l1"): 0.0, ("p10", "l2"): 0.25, ("p11", "l3"): 1.0}
+    evaluation.write_scores(got, str(tmp_path / "scores"))
+    assert spark.read.parquet(str(tmp_path / "scores")).filter("distribution = 'd' and architecture = 'm'").count() == 3
+    assert evaluation.one_of(got, 1).collect() == evaluation.one_of(got.repartition(3), 1).collect()
