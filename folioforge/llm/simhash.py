@@ -436,7 +436,7 @@ def link_sets(sets: DataFrame, scratch: Scratch, similarity: float, recall: floa
     n = sets.count()
     if n < 2:
         return sets.sparkSession.createDataFrame([], "u long, v long")
-    sample = _sampled(sets)
+    sample = _sampled(sets)[: SAMPLE // 2]
     words = min(CARRIED, sample.shape[1] // 64)
     p, seen = differing(similarity), 64 * words
     filed = _filed(sets, likely_plan(sample, n, similarity, recall), words, True, scratch)
@@ -475,7 +475,7 @@ def exact_links(nodes: np.ndarray, flat: np.ndarray, size: np.ndarray, least: fl
 def similar(docs: DataFrame, own: DataFrame, labels: DataFrame, scratch: Scratch, k: int, least: float) -> DataFrame:
     """Nodes with their loose components -> (u, v): edges whose components are those of all pairs in one loose component
     that are similar enough. Texts are read again for these nodes only. A large loose component is dealt out as pairs of
-    blocks of 256 nodes, or a sixteenth of it, but no more than 4,096."""
+    blocks of 64 nodes, or a sixty-fourth of it, but no more than 4,096."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = ShingleSets(k).of
@@ -493,7 +493,7 @@ def similar(docs: DataFrame, own: DataFrame, labels: DataFrame, scratch: Scratch
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     n = scratch.write(labels.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    blocks = F.greatest(F.ceil(F.col("n") / 4096), F.least(F.lit(16), F.ceil(F.col("n") / 256))).cast("int")
+    blocks = F.greatest(F.ceil(F.col("n") / 4096), F.least(F.lit(64), F.ceil(F.col("n") / 64))).cast("int")
     inside = scratch.write(labels.join(n, "component").join(own.select("node", "rep"), "node").select("node", "rep", "component", blocks.alias("blocks")), "inside")
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text")).join(inside.select("rep").distinct(), F.col("__id") == F.col("rep"), "left_semi")
     have = inside.join(texts.select("text").mapInArrow(sets, "of long, hashes array<long>"), F.col("node") == F.col("of"))
