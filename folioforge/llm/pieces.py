@@ -109,8 +109,8 @@ class Model:
         self.codes = np.ones(0x110000, np.uint16)
         self.codes[[ord(c) for c in self.alphabet]] = list(self.alphabet.values())
         self.long = np.array([i for i in usual if len(self.pieces[i]) > 1], np.int64)
-        self.length = np.array([len(self.pieces[i]) for i in self.long])
-        self.rank = np.array([order[sp.get_score(int(i))] for i in self.long])
+        self.length = np.array([len(self.pieces[i]) for i in self.long], np.int32)
+        self.rank = np.array([order[sp.get_score(int(i))] for i in self.long], np.int32)
         self.words = -(-int(self.length.max(initial=1)) // 4)
         self.low, self.high = self.packed(0), self.packed(0xFFFF)
         self.single = np.full(len(self.alphabet) + 2, -1, np.int64)
@@ -125,17 +125,14 @@ class Model:
         m = m.reshape(len(self.long), self.words, 4)
         return list((m[:, :, 0] << np.uint64(48) | m[:, :, 1] << np.uint64(32) | m[:, :, 2] << np.uint64(16) | m[:, :, 3]).T)
 
-    def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, piece) of all occurrences of pieces of two characters or more, sorted by position."""
+    def edges(self, text: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of all occurrences of pieces of two characters or more, sorted by position. room: characters up to the segment's end."""
         n = len(text)
         t = np.concatenate([text, np.zeros(4 * self.words + 4, np.uint16)]).astype(np.uint64)
         four = t[:-3] << np.uint64(48) | t[1:-2] << np.uint64(32) | t[2:-1] << np.uint64(16) | t[3:]
-        borders = np.flatnonzero(text == 0)
-        room = borders[np.searchsorted(borders, np.arange(n))] - np.arange(n)  # characters up to the segment's end
-        keys = []
-        for j in range(self.words):  # a suffix ends with its segment
-            have = np.clip(room - 4 * j, 0, 4).astype(np.uint64)
-            keys.append(np.where(have > 0, four[4 * j : 4 * j + n] & ~((np.uint64(1) << (np.uint64(64) - np.maximum(have, 1) * np.uint64(16))) - np.uint64(1)), 0).astype(np.uint64))
+        # a suffix ends with its segment: of four characters the first so many count
+        count = np.array([0, 0xFFFF << 48, 0xFFFFFFFF << 32, 0xFFFFFFFFFFFF << 16, 0xFFFFFFFFFFFFFFFF], np.uint64)
+        keys = [four[4 * j : 4 * j + n] & count[np.clip(room - 4 * j, 0, 4)] for j in range(self.words)]
         suffix = np.argsort(keys[0])
         for j in range(1, self.words):  # stretches that are equal so far and go on, by their next characters
             same = np.ones(n - 1, bool)
@@ -167,10 +164,10 @@ class Model:
         count = (hi - lo)[some]
         piece = np.repeat(some, count)
         at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo[some], count)
-        start = suffix[at]
-        order = np.argsort(start * 4 * (self.words + 1) + self.length[piece])
-        start, piece = start[order], piece[order]
-        return start, start + self.length[piece], piece
+        start, size = suffix[at], self.length[piece]
+        order = np.argsort(start * 4 * (self.words + 1) + size)
+        start, piece = start[order].astype(np.int32), piece[order].astype(np.int32)
+        return start, start + size[order], piece
 
     def segment(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The number of piece ids of each segment, and all their ids one after the other."""
@@ -180,25 +177,25 @@ class Model:
         first = np.cumsum(size + 1) - size - 1
         text = self.codes[chars]
         text[first + size] = 0
-        start, end, piece = self.edges(text)
+        start, end, piece = self.edges(text, np.repeat((first + size).astype(np.int32), size + 1) - np.arange(len(text), dtype=np.int32))
         if self.unigram:
             return self._best(text, chars, first, size, start, end, piece)
         border = np.ones(len(text) + 1, np.int8)
-        owner = np.searchsorted(first, start, "right") - 1
+        owner = np.repeat(np.arange(len(size), dtype=np.int32), size + 1)[start]
         rank = self.rank[piece]
         symbol = self.single[text]  # at each border: the id of the symbol that starts there, -1 for a character without one
         for _ in range(ROUNDS):
             if not len(start):
                 break
-            before = np.concatenate([[0], np.cumsum(border)])
+            before = np.concatenate([[0], np.cumsum(border, dtype=np.int32)])
             inner = before[end] - before[start + 1]
-            alive = (border[start] == 1) & (border[end] == 1) & (inner > 0)
+            alive = np.flatnonzero((border[start] & border[end]).astype(bool) & (inner > 0))
             start, end, rank, owner, piece, inner = start[alive], end[alive], rank[alive], owner[alive], piece[alive], inner[alive]
             now = np.flatnonzero(inner == 1)
             if not len(now):
                 start = start[:0]
                 break
-            key = rank[now] * len(text) + start[now]
+            key = rank[now].astype(np.int64) * len(text) + start[now]
             group = np.flatnonzero(np.r_[True, np.diff(owner[now]) != 0])
             best = np.minimum.reduceat(key, group)
             own = np.repeat(best, np.diff(np.r_[group, len(now)]))
