@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import geometry as G
 from folioforge.functions import scalars as S
 from folioforge.functions import text as T
-from folioforge.operators import decode, evaluate, jobs, layout, pixels
+from folioforge.operators import charset, decode, evaluate, jobs, layout, pixels
 from folioforge.plans import ocr
 from folioforge.sinks import export
 from folioforge.sources import files
@@ -92,10 +92,7 @@ def label_decode(spark, d):
 
 @query("SELECT symbol, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, unnest(string_split(text, '')) AS symbol FROM documents) WHERE symbol <> '' GROUP BY symbol")
 def charset_stats(spark, d):
-    # counted within each row, so that a document sends a row for each of its few symbols into one aggregation
-    one = table(spark, d, "documents").select(F.col("text").alias("t"), F.explode(F.array_distinct(T.characters(F.col("text")))).alias("symbol"))
-    counted = one.select("symbol", ((F.length("t") - F.length(F.replace("t", "symbol"))) / F.length("symbol")).cast("long").alias("k"))
-    return counted.groupBy("symbol").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    return charset.symbol_counts(table(spark, d, "documents"))
 
 
 @query("SELECT doc_id, (i - 1)::INTEGER AS ord, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)")
@@ -250,7 +247,12 @@ def line_images(spark, d):
                     rows.append((page_id, i, round(k, 6), image.shape[1], image.shape[0], int(image.sum())))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, (pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["page_id", "ord", "k", "width", "height", "ink"])
 
-    return table(spark, d, "part").select(key.alias("page_id"), F.array(*box).alias("boxes")).mapInArrow(run, "page_id long, ord int, k double, width int, height int, ink int")
+    return table(spark, d, "part").select(key.alias("page_id"), F.array(*box).alias("boxes")).repartition(tasks(spark), "page_id").mapInArrow(run, "page_id long, ord int, k double, width int, height int, ink int")
+
+
+def tasks(spark: SparkSession) -> int:
+    """Rows that stand for pages are few bytes and much work: they are dealt out by number, which adaptive execution leaves as it is."""
+    return 2 * spark.sparkContext.defaultParallelism
 
 
 def drawn_pages(spark, d) -> DataFrame:
@@ -270,7 +272,7 @@ def drawn_pages(spark, d) -> DataFrame:
             n = len(data)
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([v] * n, pa.int32()) for v in (192, 256, 3)], pa.array(data, pa.binary())], ["page_id", "height", "width", "channels", "data"])
 
-    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id")).mapInArrow(run, "page_id long, height int, width int, channels int, data binary")
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id")).repartition(tasks(spark), "page_id").mapInArrow(run, "page_id long, height int, width int, channels int, data binary")
 
 
 def dark(tiles: np.ndarray) -> np.ndarray:

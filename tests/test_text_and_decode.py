@@ -169,3 +169,17 @@ def test_job_summary_counts_failures(spark):
     assert jobs.job_summary(df.limit(0)).first().avg_duration_per_page_ms == 0
     with pytest.raises(ValueError):
         jobs.artifact_path("r", "j", "elsewhere")
+
+
+def test_symbol_counts(spark, monkeypatch):
+    from collections import Counter
+
+    from folioforge.operators import charset
+
+    texts = ["abca", None, "", "é😀é", "a" * 50, "\n a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    n, docs = Counter("".join(filter(None, texts))), Counter(c for t in texts for c in set(t or ""))
+    for piece in (4, 4_000_000):
+        monkeypatch.setattr(charset, "PIECE", piece)
+        assert {r.symbol: (r.n, r.n_docs) for r in charset.symbol_counts(df).collect()} == {c: (n[c], docs[c]) for c in n}
+    assert charset.symbol_counts(df.limit(0)).count() == 0
