@@ -156,7 +156,7 @@ def join_bounded(df: DataFrame, small: DataFrame, key: str, how: str = "left", r
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered for up to `room` words."""
 
-    def __init__(self, seed: int = 0, room: int = 500_000):
+    def __init__(self, seed: int = 0, room: int = 200_000):
         super().__init__()
         self.seed, self.room = seed, room
 
