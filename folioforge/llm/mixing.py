@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import WORD, Scratch, join_bounded
+from folioforge.llm.common import WORD, Scratch, column, join_bounded
 
 WEIGHTS = (3, 1, 2)
 BINS = 4096
@@ -158,6 +158,6 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     """The mix itself: every row of docs as often as it has copies, with its columns unchanged."""
     scratch = Scratch(docs.sparkSession, "mixing")
     sized = scratch.write(measured(docs), "sized")
-    rows = measured(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), "__row")
+    rows = measured(docs.withColumn("__row", F.struct(*[column(c) for c in docs.columns])), "__row")
     out = apply(rows, fit(sized, scratch, weights, share, cap), cap)
     return out.filter("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")

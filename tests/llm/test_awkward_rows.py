@@ -84,6 +84,12 @@ def test_mixing_rules(docs):
     assert Counter(map(tuple, mixing.mix(docs.repartition(7)).collect())) == Counter(map(tuple, got))
 
 
+def test_mixed_rows_keep_odd_names(spark):
+    docs = spark.createDataFrame([(1, "a b c", "en", "x", 1), (2, "d e", None, None, 2)], SCHEMA).withColumns({"a`b": F.lit(1), "c.d": F.lit(2)})
+    out = mixing.mixed_rows(docs)
+    assert out.columns == docs.columns and {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}
+
+
 def test_tiff_rules(docs):
     for r in tiff.round_trip(docs).collect():
         assert r.payload_bytes % 64 == 0 and r.payload_bytes >= max(64, r.n_bytes)
