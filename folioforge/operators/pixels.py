@@ -6,7 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from folioforge.functions.scalars import line_guid
 
 
 def resize(img: np.ndarray, width: int, height: int) -> np.ndarray:
@@ -327,28 +331,48 @@ def extract_line(img: np.ndarray, p: np.ndarray, height: int, k: float) -> np.nd
     return mask_and_crop(img[y0:y1, x0:x1], dilate(_filled((y1 - y0, x1 - x0), p - (x0, y0)), kw, kh))
 
 
-def extract_lines(img: np.ndarray, lines: list[np.ndarray], k: float = 2.5, tolerance: float = 4.0) -> list[tuple[np.ndarray, float]]:
+def extract_lines(img: np.ndarray, lines: list[np.ndarray], k: float = 2.5, tolerance: float = 4.0, local: bool = False) -> list[tuple[np.ndarray, float]]:
     """(line image, k) in reading order: k shrinks by tenths, ten times at most, while a line comes out higher than tolerance times its box, and the
-    next line starts with it. A line that gives nothing is black, and leaves k as it was."""
+    next line starts with it. A line that gives nothing is black, and leaves k as it was. With local, a curved line is straightened by itself, and only
+    such lines hand their k on."""
     out = []
     for p in lines:
         height, now = box_of(p)[3], k
-        line = extract_line(img, p, height, now)
+        curved, centres, level, spread = line_curve(img.shape[:2], p) if local else (False, None, None, 0.0)
+        if curved:
+            room = max(1, int(height * k))
+            part, mask = unbent_line(img, p, centres, level, room, max(1, int(room * k)) + 2 * int(spread) + height)
+
+        def take(now: float) -> np.ndarray | None:
+            if not curved:
+                return extract_line(img, p, height, now)
+            kw = int(height * now)
+            kh = int(kw * now)
+            return mask_and_crop(part, dilate(mask, kw, kh)) if kw > 0 and kh > 0 else None
+
+        line = take(now)
         for _ in range(10):
             if line is None or line.shape[0] <= height * tolerance:
                 break
             now -= 0.1
             if now <= 0.1:
                 break
-            line = extract_line(img, p, height, now)
+            line = take(now)
         if line is None:
             line = np.zeros((height, 2 * height, 1 if img.ndim == 2 else img.shape[2]), np.uint8)
-        else:
+        elif curved or not local:
             k = now
-        out.append((line, k))
+        out.append((line, now if local else k))
     return out
 
 
+def unbent_line(img: np.ndarray, p: np.ndarray, centres: np.ndarray, level: np.ndarray, side: int, above: int) -> tuple[np.ndarray, np.ndarray]:
+    """Page and mask of one line, both warped so that it lies on one level; only what lies within side and above of its box is computed."""
+    x, y, w, h = box_of(p)
+    window = max(0, x - side), max(0, y - above), min(img.shape[1], x + w + side), min(img.shape[0], y + h + above)
+    return unbend(img, centres, level, window=window), unbend(fill(img.shape[:2], p), centres, level, window=window)
+
+
 def line_threshold(mask: np.ndarray, width: int = 20) -> float:
     """How far apart lines are: of slices across the mask's box, as many as half its width in slices and as many pixels apart, the one with most contours, the
     first of equals; the median of their centres, over their number, cut to a whole number. 0 without any."""
@@ -396,11 +420,11 @@ def global_curve(curves: list[tuple[bool, np.ndarray, np.ndarray, float]]) -> in
     return int(away.argmin())
 
 
-def unbend(img: np.ndarray, centres: np.ndarray, level: np.ndarray, alpha: float = 0.5) -> np.ndarray:
-    """A page, or its mask, warped so that the centres come to lie on one level; the page's corners stay."""
+def unbend(img: np.ndarray, centres: np.ndarray, level: np.ndarray, alpha: float = 0.5, window: tuple[int, int, int, int] | None = None) -> np.ndarray:
+    """A page, or its mask, warped so that the centres come to lie on one level; the page's corners stay. With a window, only what shows there."""
     h, w = img.shape[:2]
     corners = np.array([(0, 0), (w, 0), (0, h), (w, h)], float)
-    return thin_plate_warp(img, np.concatenate([centres, corners]), np.concatenate([level, corners]), alpha)
+    return thin_plate_warp(img, np.concatenate([centres, corners]), np.concatenate([level, corners]), alpha, window)
 
 
 def line_contours(mask: np.ndarray) -> list[np.ndarray]:
@@ -418,8 +442,9 @@ def page_angle(mask: np.ndarray, most: float = 5.0) -> float:
     return -(90 - float(np.mean(high))) if high else 0.0
 
 
-def thin_plate_warp(img: np.ndarray, src: np.ndarray, dst: np.ndarray, alpha: float = 0.5) -> np.ndarray:
-    """Moves points src to dst (n, 2: x, y) by a regularised thin-plate spline, everything else smoothly with them."""
+def thin_plate_warp(img: np.ndarray, src: np.ndarray, dst: np.ndarray, alpha: float = 0.5, window: tuple[int, int, int, int] | None = None) -> np.ndarray:
+    """Moves points src to dst (n, 2: x, y) by a regularised thin-plate spline, everything else smoothly with them. window: x, y and their ends, of
+    the part that is wanted."""
 
     def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         r2 = ((a[:, None] - b[None]) ** 2).sum(axis=2)
@@ -430,12 +455,22 @@ def thin_plate_warp(img: np.ndarray, src: np.ndarray, dst: np.ndarray, alpha: fl
     p = np.concatenate([np.ones((n, 1)), d], axis=1)
     m = np.block([[kernel(d, d) + alpha * 1e-6 * np.eye(n), p], [p.T, np.zeros((3, 3))]])
     coef = np.linalg.lstsq(m, np.concatenate([s, np.zeros((3, 2))]), rcond=None)[0]
-    y, x = np.mgrid[: img.shape[0], : img.shape[1]]
+    x0, y0, x1, y1 = window or (0, 0, img.shape[1], img.shape[0])
+    y, x = np.mgrid[y0:y1, x0:x1]
     q = np.stack([x.ravel(), y.ravel()], axis=1) / scale
     at = (kernel(q, d) @ coef[:n] + np.concatenate([np.ones((len(q), 1)), q], axis=1) @ coef[n:]) * scale
     return sample(img, at[:, 0].reshape(x.shape), at[:, 1].reshape(x.shape))
 
 
+def image_of(b: pa.RecordBatch, i: int) -> np.ndarray | None:
+    """Row i of (page_id, height, width, channels, data), in three channels; None if it holds no image of that size."""
+    h, w, c, data = (b.column(j)[i].as_py() for j in range(1, 5))
+    if not (data and h and w and c and len(data) == h * w * c):
+        return None
+    img = np.frombuffer(data, np.uint8).reshape(h, w, c)
+    return img[:, :, :3] if c >= 3 else np.repeat(img[:, :, :1], 3, axis=2)
+
+
 def array_of(row) -> np.ndarray:
     a = np.frombuffer(row.data, np.uint8)
     return a.reshape(row.height, row.width, row.channels) if row.channels > 1 else a.reshape(row.height, row.width)
@@ -454,6 +489,24 @@ def tiles(pages: DataFrame, patch: int = 512, transform: Callable[[np.ndarray],
     return pages.select("page_id", "height", "width", "channels", "data").mapInPandas(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, ty int, tx int, height int, width int, channels int, data binary, pad_x int, pad_y int, page_width int, page_height int")
 
 
+def scaled(pages: DataFrame, width: int = 2048) -> DataFrame:
+    """pages -> (page_id, guid, height, width, channels, data): every page at one width, its height in proportion. A page without an image has null sizes and data."""
+    kind = pages.schema["page_id"].dataType.simpleString()
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                img, row = image_of(b, i), (None,) * 4
+                if img is not None:
+                    img = resize_to_width(img, width)[0]
+                    row = (*img.shape, img.tobytes())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), *[pa.array([v], t) for v, t in zip(row, types, strict=True)]], ["page_id", "height", "width", "channels", "data"])
+
+    out = pages.select("page_id", "height", "width", "channels", "data").mapInArrow(run, f"page_id {kind}, height int, width int, channels int, data binary")
+    return out.select("page_id", line_guid(F.col("page_id"), F.lit("page")).alias("guid"), "height", "width", "channels", "data")
+
+
 def stitched(masks: DataFrame) -> DataFrame:
     """Masks of tiles (as tiles(), one byte a pixel, 0 or 1) -> pages of masks at page size. One shuffle, by page; a group is one page's tiles."""
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import geometry as G
 from folioforge.functions import scalars as S
 from folioforge.functions import text as T
-from folioforge.operators import charset, decode, evaluate, jobs, layout, pixels
+from folioforge.operators import areas, charset, decode, evaluate, jobs, layout, pixels
 from folioforge.plans import ocr
 from folioforge.sinks import export
 from folioforge.sources import files
@@ -289,6 +289,42 @@ def page_lines(spark, d):
     return ocr.lines(read).select("page_id", "ord", "guid", "x", "y", "w", "h", "cx", "cy", "n_chunks")
 
 
+@query(f"""WITH {BOXES} SELECT page_id, ord, (w * h)::DOUBLE AS area, x, y FROM b QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY w * h DESC, ord) = 1""")
+def largest_contour(spark, d):
+    best = areas.largest(boxes(spark, d).withColumn("contour", contour_of_box()), "page_id")
+    return best.select("page_id", "ord", "area", F.col("contour")[0]["x"].alias("x"), F.col("contour")[0]["y"].alias("y"))
+
+
+@query("""WITH s AS (SELECT p_partkey AS page_id, 8 + p_size % 20 AS x, 60 + p_size % 40 AS w, 55 + p_partkey % 7 AS y, 1 + p_partkey % 5 AS n FROM part)
+SELECT page_id, (2 * x - 1)::INTEGER AS x, (2 * (y - 50) - 1)::INTEGER AS y, (2 * (w + 10) + 2)::INTEGER AS w,
+ (least(2 * (y + 20 * (n - 1) + 12 + 60) + 1, 384) - (2 * (y - 50) - 1))::INTEGER AS h, n::INTEGER AS n_lines FROM s""")
+def text_area(spark, d):
+    """Masks of one to five bars, half as large as their pages: the box in which they run together, and the bars inside."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data = []
+            for key, size in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                mask = np.zeros((192, 256), np.uint8)
+                for i in range(1 + key % 5):
+                    y = 55 + key % 7 + 20 * i
+                    mask[y : y + 12, 8 + size % 20 : 68 + size % 20 + size % 40] = 255
+                data.append(mask.tobytes())
+            sizes = [pa.array([v] * b.num_rows, pa.int32()) for v in (192, 256, 1, 384, 512)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *sizes, pa.array(data, pa.binary())], ["page_id", "height", "width", "channels", "page_height", "page_width", "data"])
+
+    keys = table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), "p_size").repartition(tasks(spark), "page_id")
+    return areas.text_boxes(keys.mapInArrow(run, "page_id long, height int, width int, channels int, page_height int, page_width int, data binary"))
+
+
+@query()
+def page_previews(spark, d):
+    """Drawn pages under their lines, as PNG files."""
+    pages = drawn_pages(spark, d)
+    line = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((8, 8), (247, 8), (247, 20), (8, 20))])
+    return areas.page_previews(pages.withColumn("regions", F.array(F.struct(F.lit("line").alias("class"), line.alias("contour")))))
+
+
 CURVES = f"""{BOXES}, c AS (SELECT page_id, ord // 2 AS ord, max(y % 50) - min(y % 50) AS spread, avg(h) AS height, avg(y % 50) AS mean FROM b GROUP BY ALL),
 l AS (SELECT page_id, ord, spread > height AS curved, CASE WHEN spread > height THEN spread ELSE 0 END AS yd, round_even(mean, 0)::INTEGER AS target FROM c)"""
 

@@ -31,6 +31,8 @@ class Settings:
     bbox_tolerance: float = 4.0
     dewarp: bool = False
     dewarp_threshold: float = 0.25
+    #: global: the page by its most typical curved line; local: each curved line by itself.
+    tps_mode: str = "global"
     #: Distance of lines: from the mask, or else this.
     calculate_threshold: bool = True
     group_threshold: float = 20
@@ -142,6 +144,7 @@ class Page:
     contours: list[np.ndarray] = field(default_factory=list)
     tps_ratio: float | None = None
     dewarped: bool = False
+    local: bool = False
     threshold: float = 0.0
     lines: list[dict] = field(default_factory=list)
 
@@ -163,11 +166,14 @@ def build_lines(img: np.ndarray, mask: np.ndarray, s: Settings) -> Page:
 
 
 def dewarp(page: Page, s: Settings) -> Page:
-    """Warped by the most typical curved line if more than dewarp_threshold of the lines are curved; lines are then built anew."""
+    """Warped by the most typical curved line if more than dewarp_threshold of the lines are curved; lines are then built anew. With tps_mode local the
+    page stays, and extract_lines straightens each curved line."""
     curves = [P.line_curve(page.mask.shape, c) for c in page.contours]
     ratio = sum(c[0] for c in curves) / len(curves)
     if ratio <= s.dewarp_threshold:
         return replace(page, tps_ratio=ratio)
+    if s.tps_mode == "local":
+        return replace(page, tps_ratio=ratio, dewarped=True, local=True)
     _, centres, level, _ = curves[P.global_curve(curves)]
     new = build_lines(P.unbend(page.img, centres, level), P.unbend(page.mask, centres, level), s)
     return replace(new, tps_ratio=ratio, dewarped=True)
@@ -197,7 +203,7 @@ def extract_lines(page: Page, first_mask: np.ndarray, s: Settings) -> Page:
         merged = [(P.convex_hull(np.concatenate([simple[i] for i in g])) if len(g) > 1 else simple[g[0]], len(g)) for g in groups]
     else:
         merged = [(simple[i], 1) for g in groups for i in g]
-    for (c, n), (image, k) in zip(merged, P.extract_lines(page.img, [c for c, _ in merged], s.k_factor, s.bbox_tolerance), strict=True):
+    for (c, n), (image, k) in zip(merged, P.extract_lines(page.img, [c for c, _ in merged], s.k_factor, s.bbox_tolerance, page.local), strict=True):
         (x, y, w, h), (cx, cy) = P.box_of(c), centre(P.box_of(c))
         points = [{"x": int(a), "y": int(b)} for a, b in c]
         page.lines.append({"ord": len(page.lines), "contour": points, "x": x, "y": y, "w": w, "h": h, "cx": cx, "cy": cy, "n_chunks": n, "k": k, "image": image})
@@ -281,7 +287,7 @@ def run(pages: DataFrame, detector: Detector, recogniser: Recogniser | None = No
         for b in batches:
             schema = pa.schema([b.schema.field(0), *fields])
             for i in range(b.num_rows):
-                img, start = image_of(b, i), time.perf_counter()
+                img, start = P.image_of(b, i), time.perf_counter()
                 row = {"status": "failed", "error": "no image", "width": b.column(2)[i].as_py(), "height": b.column(1)[i].as_py(), "dewarped": False, "lines": []}
                 if img is not None:
                     row = _row(img, *read_page(img, detector, recogniser, s), (time.perf_counter() - start) * 1000, s, images)
@@ -305,7 +311,7 @@ def read_lines(images: DataFrame, recogniser: Recogniser, s: Settings = Settings
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [image_of(b, i) for i in range(b.num_rows)]
+            found = [P.image_of(b, i) for i in range(b.num_rows)]
             some = [P.binarise(x) if black_and_white else x for x in found if x is not None]
             read = iter(list(recogniser.read(some, s)))
             rows = []
@@ -326,15 +332,6 @@ def page_metrics(read: DataFrame) -> DataFrame:
     return read.select(F.col("page_id").cast("string").alias("image_name"), F.coalesce("duration_ms", F.lit(0.0)).alias("total_duration_ms"), n.alias("lines_detected"), done.alias("lines_processed"), F.col("dewarped").alias("dewarping_applied"), F.col("angle").alias("rotation_angle"), "status")
 
 
-def image_of(b: pa.RecordBatch, i: int) -> np.ndarray | None:
-    """Row i of (page_id, height, width, channels, data), in three channels; None if it holds no image of that size."""
-    h, w, c, data = (b.column(j)[i].as_py() for j in range(1, 5))
-    if not (data and h and w and c and len(data) == h * w * c):
-        return None
-    img = np.frombuffer(data, np.uint8).reshape(h, w, c)
-    return img[:, :, :3] if c >= 3 else np.repeat(img[:, :, :1], 3, axis=2)
-
-
 def detections(pages: DataFrame, detector: Detector) -> DataFrame:
     """pages -> schemas.LINE_DETECTION, a row a page: every contour that the line model gives, in the order of their first pixels. A page without any, or without an image,
     has none."""
@@ -344,7 +341,7 @@ def detections(pages: DataFrame, detector: Detector) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                img = image_of(b, i)
+                img = P.image_of(b, i)
                 found = [] if img is None else detector.detections(img)
                 boxes = [dict(zip("xywh", P.box_of(c), strict=True)) for c in found]
                 row = (b.column(0)[i].as_py(), b.column(2)[i].as_py(), b.column(1)[i].as_py(), len(found), _points(found), boxes)
@@ -364,7 +361,7 @@ def layout_boxes(pages: DataFrame, detector: Detector, wanted: list[str] | None
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                img, found = image_of(b, i), []
+                img, found = P.image_of(b, i), []
                 if img is not None:
                     for name in detector.classes:
                         if not wanted or name in wanted:

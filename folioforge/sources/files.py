@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,44 @@ def arpa_unigrams(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(~F.trim("line").startswith("#")).select("ord", token.alias("token")).filter("token is not null")
 
 
+def language_model(spark: SparkSession, model: str, arpa: str) -> DataFrame:
+    """One row (model, arpa, unigrams): where a language model lies and what words it knows; unigrams is null where it names none."""
+    words = arpa_unigrams(spark, arpa).agg(F.array_sort(F.collect_list(F.struct("ord", "token")))["token"].alias("words"))
+    return words.select(F.lit(model).alias("model"), F.lit(arpa).alias("arpa"), F.when(F.size("words") > 0, F.col("words")).alias("unigrams"))
+
+
+def only_file(spark: SparkSession, folder: str, suffix: str) -> str:
+    """The one file in a folder whose name ends so; an error if there is none, or several."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted(f.getPath().toString() for f in fs.listStatus(fs_path) if f.isFile() and f.getPath().getName().endswith(suffix)) if fs.exists(fs_path) else []
+    if not found:
+        raise FileNotFoundError(f"no {suffix} file in {folder}")
+    if len(found) > 1:
+        raise ValueError(f"several {suffix} files in {folder}: {found}")
+    return found[0]
+
+
+def model_in(spark: SparkSession, folder: str) -> DataFrame:
+    """The configuration of a model's folder, which holds exactly one."""
+    return model_configs(spark, only_file(spark, folder, ".json"))
+
+
+def language_model_in(spark: SparkSession, folder: str) -> DataFrame:
+    """The language model of a folder, which holds exactly one .binary and one .arpa file."""
+    return language_model(spark, only_file(spark, folder, ".binary"), only_file(spark, folder, ".arpa"))
+
+
+def theme(spark: SparkSession, path: str) -> dict | None:
+    """A JSON file's content, or None if there is no such file."""
+    try:
+        return json.loads(spark.read.text(path, wholetext=True).first()[0])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def model_configs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Line, layout and recognition model configurations as one table; 'yes' flags become booleans, a missing layout architecture deeplabv3.
     Files are named relative to the configuration's folder."""
