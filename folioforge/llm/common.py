@@ -148,7 +148,7 @@ def join_bounded(df: DataFrame, small: DataFrame, key: str, how: str = "left", r
     if (small.limit(max_rows + 1).count() if rows is None else rows) <= max_rows:
         return df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col(k)), how).drop(k)
     many = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = df.withColumn("__deal", F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int"))
+    dealt = df.withColumn("__deal", F.pmod(F.xxhash64(*[column(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]), F.lit(salts)).cast("int"))
     on = F.col(key).eqNullSafe(F.col(k)) & (F.col("__deal") == F.col("__salt"))
     return dealt.join(many, on, how).drop(k, "__salt", "__deal")
 

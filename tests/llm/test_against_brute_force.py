@@ -299,6 +299,8 @@ def test_salted_join_equals_broadcast(spark):
     small = spark.createDataFrame([("hot", 1), (None, 2)], "k string, v int")
     a = sorted(map(tuple, common.join_bounded(df, small, "k").collect()))
     assert a == sorted(map(tuple, common.join_bounded(df, small, "k", max_rows=1).collect())) and len(a) == 50
+    odd = df.withColumns({"m": F.struct(F.create_map(F.lit("a"), F.col("i"))), "a`b.c": F.array(F.create_map(F.lit(1), F.col("k")))})
+    assert sorted(r.v for r in common.join_bounded(odd, small, "k", max_rows=1).collect()) == sorted(r[2] for r in a)
 
 
 def test_targets():
