@@ -241,9 +241,10 @@ def line_images(spark, d):
         page = np.full((PAGE_H, PAGE_W), 255, np.uint8)
         for b in batches:
             rows = []
-            for page_id, boxes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                corners = [np.array([(x, y), (x + w - 1, y), (x + w - 1, y + h - 1), (x, y + h - 1)]) for x, y, w, h in (r.values() for r in boxes)]
-                for i, (image, k) in enumerate(pixels.extract_lines(page, corners, K, TOLERANCE)):
+            x, y, w, h = (b.column(1).flatten().field(i).to_numpy() for i in range(4))
+            corners = np.stack([x, y, x + w - 1, y, x + w - 1, y + h - 1, x, y + h - 1], axis=1).reshape(-1, 3, 4, 2)
+            for page_id, lines in zip(b.column(0).to_pylist(), corners, strict=True):
+                for i, (image, k) in enumerate(pixels.extract_lines(page, list(lines), K, TOLERANCE)):
                     rows.append((page_id, i, round(k, 6), image.shape[1], image.shape[0], int(image.sum())))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, (pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["page_id", "ord", "k", "width", "height", "ink"])
 

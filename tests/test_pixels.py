@@ -192,3 +192,25 @@ def test_thin_plate_identity():
     img = np.arange(100, dtype=np.uint8).reshape(10, 10)
     p = np.array([(0, 0), (9, 0), (0, 9), (9, 9), (4, 5)], float)
     assert (P.thin_plate_warp(img, p, p)[2:8, 2:8] == img[2:8, 2:8]).all()
+
+
+def test_a_line_is_filled_once_and_a_box_never(monkeypatch):
+    calls, filled = [], P._filled
+    monkeypatch.setattr(P, "_filled", lambda *a: calls.append(a) or filled(*a))
+    img = np.full((130, 300), 255, np.uint8)
+    box, other = np.array([(20, 50), (99, 50), (99, 57), (20, 57)]), np.array([(20, 50), (99, 52), (99, 59), (20, 57)])
+    assert P.extract_lines(img, [box], 2.5, 1.5)[0][1] < 2.0 and not calls
+    assert P.extract_lines(img, [other], 2.5, 1.5)[0][1] < 2.0 and len(calls) == 1
+
+
+def test_cut_boxes_equal_masking_the_whole_page():
+    rng = np.random.default_rng(5)
+    for i in range(60):
+        img = rng.integers(i % 2, 4, (40, 50, 3) if i % 3 else (40, 50)).astype(np.uint8)
+        x, y, w, h = rng.integers(-6, 45), rng.integers(-6, 36), rng.integers(1, 30), rng.integers(1, 9)
+        p = np.array([(x, y), (x + w - 1, y), (x + w - 1, y + h - 1), (x, y + h - 1)])
+        for k in (0.6, 1.4, 2.0):
+            kw = int(h * k)
+            want = P.mask_and_crop(img, P.dilate(P.fill(img.shape[:2], p), kw, int(kw * k))) if kw and int(kw * k) else None
+            got = P.extract_line(img, p, h, k)
+            assert (got is None or not got.size) if want is None or not want.size else np.array_equal(got, want)
