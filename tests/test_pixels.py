@@ -214,3 +214,86 @@ def test_cut_boxes_equal_masking_the_whole_page():
             want = P.mask_and_crop(img, P.dilate(P.fill(img.shape[:2], p), kw, int(kw * k))) if kw and int(kw * k) else None
             got = P.extract_line(img, p, h, k)
             assert (got is None or not got.size) if want is None or not want.size else np.array_equal(got, want)
+
+
+def plain_walk(on: np.ndarray, start: tuple[int, int], side: int, seen: set) -> list[tuple[int, int]]:
+    """Walks around, keeping the empty side at hand; notes every (pixel, empty left or right neighbour) that it passes."""
+    path, at, back, first = [], start, side, None
+    while True:
+        for i in range(1, 9):
+            d = (back + i) % 8
+            if on[at[0] + P.AROUND[d][0], at[1] + P.AROUND[d][1]]:
+                break
+            if d in (0, 4):
+                seen.add((at[0], at[1], d))
+        else:
+            seen.add((at[0], at[1], side))
+            return [start]
+        seen.add((at[0], at[1], back)) if back in (0, 4) and not on[at[0] + P.AROUND[back][0], at[1] + P.AROUND[back][1]] else None
+        if first == (at, d):
+            return path
+        first = first or (at, d)
+        path.append(at)
+        at, back = (at[0] + P.AROUND[d][0], at[1] + P.AROUND[d][1]), (d + 4) % 8
+
+
+def plain_ends(p: np.ndarray) -> np.ndarray:
+    if len(p) < 3:
+        return p
+    before, after = p - np.roll(p, 1, axis=0), np.roll(p, -1, axis=0) - p
+    return p[(before != after).any(axis=1)]
+
+
+def plain_contours(mask):
+    """Pixel by pixel."""
+    on = np.pad(mask > 0, 1)
+    seen, out = set(), []
+    for y, x in np.argwhere(on).tolist():
+        for side, dx in ((4, -1), (0, 1)):
+            if not on[y, x + dx] and (y, x, side) not in seen:
+                out.append(plain_ends(np.array([(b - 1, a - 1) for a, b in plain_walk(on, (y, x), side, seen)])))
+    return out
+
+
+def test_contours_equal_the_plain_walk():
+    rng = np.random.default_rng(6)
+    for i in range(400):
+        if i % 2:
+            m = (rng.random(rng.integers(1, 14, 2)) < rng.choice([0.05, 0.3, 0.6, 0.9])).astype(np.uint8)
+        else:
+            m = np.zeros((40, 50), np.uint8)
+            for _ in range(5):
+                y, x = rng.integers(0, 35), rng.integers(0, 45)
+                m[y : y + rng.integers(1, 20), x : x + rng.integers(1, 30)] = rng.random() < 0.7
+        assert [c.tolist() for c in P.contours(m)] == [c.tolist() for c in plain_contours(m)]
+
+
+def test_a_straight_border_is_passed_in_one_go(monkeypatch):
+    calls, alike = [], P._alike
+    monkeypatch.setattr(P, "_alike", lambda *a: calls.append(a) or alike(*a))
+    m = np.zeros((500, 900), np.uint8)
+    m[20:480, 30:870] = 255
+    assert len(P.contours(m)[0]) == 4 and len(calls) <= 8
+
+
+def test_dilated_many_times_over_is_once_by_more():
+    m = (np.random.default_rng(7).random((30, 40)) < 0.01).astype(np.uint8)
+    for kw, kh, n in ((2, 12, 10), (1, 3, 4), (4, 2, 3)):
+        want = m
+        for _ in range(n):
+            want = P.dilate(want, kw, kh)
+        assert np.array_equal(P.dilate(m, kw, kh, n), want)
+
+
+def test_resized_by_definition():
+    rng = np.random.default_rng(8)
+    for h, w, height, width in ((5, 7, 10, 14), (9, 4, 3, 11), (6, 6, 13, 5)):
+        img = np.repeat(rng.integers(0, 256, (h, w), np.uint8), 2, axis=0)
+        want = np.empty((height, width), np.uint8)
+        for i in range(height):
+            for j in range(width):
+                y, x = (min(max((k + 0.5) * n / m - 0.5, 0), n - 1) for k, n, m in ((i, 2 * h, height), (j, w, width)))
+                a, b, c, d = int(y), min(int(y) + 1, 2 * h - 1), int(x), min(int(x) + 1, w - 1)
+                f = img.astype(float)
+                want[i, j] = np.floor((f[a, c] * (1 - (x - c)) + f[a, d] * (x - c)) * (1 - (y - a)) + (f[b, c] * (1 - (x - c)) + f[b, d] * (x - c)) * (y - a) + 0.5)
+        assert np.array_equal(P.resize(img, width, height), want)
