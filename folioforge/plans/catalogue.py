@@ -256,11 +256,18 @@ def tasks(spark: SparkSession) -> int:
     return 2 * spark.sparkContext.defaultParallelism
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """Slices of batches: a batch of Spark's is up to 10,000 rows, which drawn would be gigabytes at once."""
+    for b in batches:
+        for start in range(0, b.num_rows, rows):
+            yield b.slice(start, rows)
+
+
 def drawn_pages(spark, d) -> DataFrame:
     """A page of 256 x 192 pixels for each supplier: five rows, each of one black bar or two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few(batches):
             data = []
             for s in b.column(0).to_pylist():
                 page = np.full((192, 256, 3), 255, np.uint8)
@@ -303,7 +310,7 @@ def text_area(spark, d):
     """Masks of one to five bars, half as large as their pages: the box in which they run together, and the bars inside."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few(batches):
             data = []
             for key, size in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 mask = np.zeros((192, 256), np.uint8)
