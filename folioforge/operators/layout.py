@@ -66,48 +66,55 @@ def group_lines(lines: DataFrame, threshold: float = 20, page: str = "page_id")
     """lines (page_id, ord, x, y, ...) -> with grp and place, both from 0 in reading order; all rows and columns stay.
 
     In the order of ord, a line opens a new group if its y is more than threshold off the mean y of the open group. Groups are read last
-    first, the lines of one by x, then ord. The running mean restarts with each group, so this is a fold: after one shuffle, by page, it runs
-    over sorted rows and holds one page's at a time. Lines of equal ord go by y, then x; a null ord is first, a null page a page like any; a line
-    without y stays in the open group.
+    first, the lines of one by x, then ord. The running mean restarts with each group, so this is a fold: it runs over rows sorted by page, whole batches
+    of pages at once, and holds a batch and the page that it ends in. Lines are numbered in a window by page, which shuffles once, or not at all where they
+    lie by page already. Lines of equal ord go by y, then x; a null ord is first, a null page a page like any; a line without y stays in the open group.
     """
 
-    def fold(t: pa.Table) -> pa.Table:
-        x, y, groups, total, n = t.column("x").to_pylist(), t.column("y").to_pylist(), [], 0.0, 0
-        for v in y:
-            if not groups or (v is not None and n and abs(total / n - v) > threshold):
-                groups.append(groups[-1] + 1 if groups else 0)
-                total, n = 0.0, 0
-            else:
-                groups.append(groups[-1])
+    def fold(t: pa.Table) -> list[pa.RecordBatch]:
+        """Of whole pages."""
+        first = t.column(number).to_numpy() == 1
+        groups, group, total, n = [], -1, 0.0, 0
+        for v, new in zip(t.column("y").to_pylist(), first.tolist(), strict=True):
+            if new or (v is not None and n and abs(total / n - v) > threshold):
+                group, total, n = group + 1, 0.0, 0
+            groups.append(group)
             if v is not None:
                 total, n = total + v, n + 1
-        grp = groups[-1] - np.array(groups)
-        key = np.array([-np.inf if v is None else v for v in x], np.float64)
-        place = np.empty(len(grp), np.int32)
-        place[np.lexsort((np.arange(len(grp)), key, grp))] = np.arange(len(grp))
-        return t.append_column("grp", pa.array(grp.astype(np.int32))).append_column("place", pa.array(place))
+        group, row = np.array(groups), np.arange(len(groups))
+        start = np.flatnonzero(first)
+        end = np.append(start[1:], len(row))
+        at = np.cumsum(first) - 1
+        grp = group[end - 1][at] - group  # groups are numbered on from page to page
+        x = t.column("x")
+        key = x.cast(pa.float64()).fill_null(-np.inf).to_numpy()
+        place = np.empty(len(row), np.int32)
+        place[np.lexsort((row, key, grp, at))] = row - start[at]
+        t = t.drop_columns([number]).append_column("grp", pa.array(grp.astype(np.int32))).append_column("place", pa.array(place))
+        return t.combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for b in batches:
-            pages = b.column(names.index(page)).to_pylist()
-            start = 0
-            for i in range(b.num_rows):
-                last = pages[i - 1] if i else held[-1].column(names.index(page))[-1].as_py() if held else pages[i]
-                if pages[i] != last:
-                    if i > start:
-                        held.append(b.slice(start, i - start))
-                    yield from fold(pa.Table.from_batches(held)).combine_chunks().to_batches()
-                    held, start = [], i
-            if b.num_rows > start:
-                held.append(b.slice(start))
-        if held:
-            yield from fold(pa.Table.from_batches(held)).combine_chunks().to_batches()
+            starts = np.flatnonzero(b.column(b.num_columns - 1).to_numpy() == 1)
+            if len(starts):
+                last = int(starts[-1])
+                held.append(b.slice(0, last))
+                if whole := [h for h in held if h.num_rows]:
+                    yield from fold(pa.Table.from_batches(whole))
+                held = []
+                b = b.slice(last)
+            held.append(b)
+        if whole := [h for h in held if h.num_rows]:
+            yield from fold(pa.Table.from_batches(whole))
 
     rows = lines.drop("grp", "place")
-    names = rows.columns
+    number = "__n"
+    while number in [c.lower() for c in rows.columns]:
+        number += "_"
     schema = T.StructType([*rows.schema.fields, T.StructField("grp", T.IntegerType()), T.StructField("place", T.IntegerType())])
-    return rows.repartition(page).sortWithinPartitions(page, "ord", "y", "x").mapInArrow(run, schema)
+    numbered = rows.withColumn(number, F.row_number().over(Window.partitionBy(page).orderBy("ord", "y", "x")))
+    return numbered.mapInArrow(run, schema)
 
 
 @F.arrow_udf(CONTOUR_TYPE)
