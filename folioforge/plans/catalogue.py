@@ -47,9 +47,9 @@ BOXES = f"""b AS (SELECT l_orderkey AS page_id, (row_number() OVER (PARTITION BY
 
 
 def boxes(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy(*ORDER.split(", "))
-    li = table(spark, d, "lineitem")
-    return li.select(F.col("l_orderkey").alias("page_id"), (F.row_number().over(w) - 1).alias("ord"), (F.col("l_partkey") % 1500).cast("int").alias("x"), (F.col("l_suppkey") % 90 * 12).cast("int").alias("y"), (F.col("l_quantity") * 8).cast("int").alias("w"), (F.col("l_quantity") % 40).cast("int").alias("h"))
+    w = Window.partitionBy("page_id").orderBy(*ORDER.split(", "))
+    li = table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "page_id")  # first, so that what follows by page finds lines by page
+    return li.select("page_id", (F.row_number().over(w) - 1).alias("ord"), (F.col("l_partkey") % 1500).cast("int").alias("x"), (F.col("l_suppkey") % 90 * 12).cast("int").alias("y"), (F.col("l_quantity") * 8).cast("int").alias("w"), (F.col("l_quantity") % 40).cast("int").alias("h"))
 
 
 def contour_of_box() -> F.Column:
