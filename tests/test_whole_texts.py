@@ -35,3 +35,15 @@ def test_cer_of_whole_texts(spark, tmp_path):
     assert got == want and got[0] > 0 and got[2] == 0.4
     summary = {r.lang: r for r in catalogue.QUERIES["cer_summary"](spark, str(tmp_path)).collect()}
     assert summary["en"].pairs == 4 and summary["en"].max_cer == max(v for i, v in want.items() if i % 2 == 0 and v is not None)
+
+
+def test_distances_abreast_equal_those_of_single_pairs(monkeypatch):
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcdé😀 ") for _ in range(n))
+    pairs = [(word(rng.randint(0, 700)), word(rng.randint(0, 700))) for _ in range(900)]
+    pairs += [(a, a[:100] + b[:3] + a[105:]) for a, b in pairs[:20]] + [("", ""), ("a", ""), ("", "bc"), ("\ud800x", "x"), ("x" * 64, "y" * 64), ("x" * 65, "x"), ("ab" * 4000, "ba" * 3000)]
+    want = [evaluate.edit_distance(a, b) for a, b in pairs]
+    single, alone = [], evaluate.edit_distance
+    monkeypatch.setattr(evaluate, "edit_distance", lambda a, b: single.append(a) or alone(a, b))
+    assert evaluate.edit_distances(pairs) == want and len(single) < len(pairs) / 2
+    assert evaluate.edit_distances(pairs, words=300) == want and evaluate.edit_distances(pairs, room=1) == want and evaluate.edit_distances([]) == []
